@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerloom.llm import confusables, splitting
+from ledgerloom.llm import confusables, neardup, splitting
+from ledgerloom.operators.graph import components
 from ledgerloom.sources import latest_records, read_table
 
 
@@ -39,7 +40,22 @@ def p5_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _oversized(spark, sf_dir)
 
 
-QUERIES = {q.__name__: q for q in (p4_found, p4_forms, p5_found, p5_pieces)}
+def p7_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pairs of records whose texts share at least 0.60 of their three-word shingles."""
+    chunks = latest_records(read_table(spark, sf_dir, "chunks"), "chunk_text")
+    return neardup.similar_pairs(chunks, "record_id", "chunk_text", words=3, threshold=0.6, least_words=20)
+
+
+def p7_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row per record with a near duplicate: its group and its number of links."""
+    pairs = neardup.cut(p7_found(spark, sf_dir), "pairs")
+    ends = pairs.select(F.col("record_id_a").alias("record_id")).union(pairs.select("record_id_b"))
+    links = ends.groupBy("record_id").agg(F.count("*").alias("n_links"))
+    groups = components(pairs, "record_id_a", "record_id_b").select(F.col("node").alias("record_id"), F.col("component").alias("group_id"))
+    return groups.join(links, "record_id")
+
+
+QUERIES = {q.__name__: q for q in (p4_found, p4_forms, p5_found, p5_pieces, p7_found, p7_groups)}
 SQL = {
     "p5_found": """
         SELECT DISTINCT record_id, field_name FROM (
