@@ -41,7 +41,7 @@ def _whole(text: Column) -> Column:
     return F.when(F.size(boxed) == 1, F.get(boxed, F.lit(0)))
 
 
-def _items(v: Column) -> Column:
+def items(v: Column) -> Column:
     """A list of variants: the list itself, a list of one for any other value, empty for null."""
     one = F.when(v.isNull() | F.is_variant_null(v), F.array().cast(_V)).otherwise(F.array(v))
     return F.coalesce(_get(v, "$", _V), one)
@@ -54,7 +54,7 @@ def parse_field(field: Column, wrapper: str) -> Column:
     is_text = F.schema_of_variant(outer) == "STRING"
     value = F.when(is_text, _whole(inner)).otherwise(outer)
     wrapped = F.map_contains_key(F.coalesce(_get(value, "$", _O), F.create_map().cast(_O)), wrapper)
-    return F.when(value.isNotNull(), F.when(wrapped, _items(_get(value, f"$.{wrapper}", "variant"))).otherwise(_items(value)))
+    return F.when(value.isNotNull(), F.when(wrapped, items(_get(value, f"$.{wrapper}", "variant"))).otherwise(items(value)))
 
 
 def with_parsed(chunks: DataFrame, *fields: str) -> DataFrame:
@@ -67,13 +67,13 @@ def with_parsed(chunks: DataFrame, *fields: str) -> DataFrame:
 def _groups(table: Column) -> Column:
     """array<struct<label, row>> in written order, however the rows are grouped."""
     plain = F.transform(
-        _items(_get(table, "$.rows", "variant")), lambda r: F.struct(F.lit(None).cast("string").alias("label"), r.alias("row"))
+        items(_get(table, "$.rows", "variant")), lambda r: F.struct(F.lit(None).cast("string").alias("label"), r.alias("row"))
     )
     grouped = F.flatten(
         F.transform(
-            _items(_get(table, "$.row_groups", "variant")),
+            items(_get(table, "$.row_groups", "variant")),
             lambda g: F.transform(
-                _items(_get(g, "$.rows", "variant")),
+                items(_get(g, "$.rows", "variant")),
                 lambda r: F.struct(_get(g, "$.label", "string").alias("label"), r.alias("row")),
             ),
         )
@@ -110,7 +110,7 @@ def tables(parsed: DataFrame) -> DataFrame:
             _get(t, "$.table_type", "string").alias("table_type"),
             _get(t, "$.units", "string").alias("units"),
             _get(t, "$.summary", "string").alias("summary"),
-            F.size(_items(_get(t, "$.columns", "variant"))).cast("bigint").alias("n_columns"),
+            F.size(items(_get(t, "$.columns", "variant"))).cast("bigint").alias("n_columns"),
             F.size(_groups(t)).cast("bigint").alias("n_rows"),
         ),
     )
@@ -194,7 +194,7 @@ def evidence(parsed: DataFrame) -> DataFrame:
         F.transform(
             F.col("resolved_entities_json"),
             lambda e, i: F.transform(
-                _items(_get(e, "$.variant_evidence", "variant")),
+                items(_get(e, "$.variant_evidence", "variant")),
                 lambda v, j: F.struct(
                     F.col("document_id"),
                     F.col("record_id"),
@@ -248,7 +248,7 @@ def leaves(parsed: DataFrame) -> DataFrame:
         F.transform(
             F.col("resolved_entities_json"),
             lambda e, i: F.transform(
-                _items(_get(e, "$.variant_evidence", "variant")),
+                items(_get(e, "$.variant_evidence", "variant")),
                 lambda v, j: leaf("resolved_entities_json", i, j, _get(v, "$.variant", "string")),
             ),
         )
