@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerloom.llm import confusables, neardup, splitting
+from ledgerloom.llm import confusables, names, neardup, splitting
+from ledgerloom.operators import nested
 from ledgerloom.operators.graph import components
 from ledgerloom.sources import latest_records, read_table
 
@@ -40,6 +41,45 @@ def p5_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _oversized(spark, sf_dir)
 
 
+def filing_names(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(scope, kind, name): the distinct spellings of people and companies in each filing's chunks."""
+    fields = ("entities_json", "resolved_entities_json")
+    chunks = read_table(spark, sf_dir, "chunks")
+    chunks = chunks.where(F.col("entities_json").contains("{") | F.col("resolved_entities_json").contains("{"))
+    # Deliveries of a record hold the same names, so the distinct below counts each once.
+    parsed = nested.with_parsed(chunks.where("record_id IS NOT NULL AND document_id IS NOT NULL"), *fields)
+    empty = F.array().cast("array<struct<kind:string,name:string>>")
+
+    def spelled(v, kind, path):
+        return F.struct(F.try_variant_get(kind, "$.entity_type", "string").alias("kind"), F.try_variant_get(v, path, "string").alias("name"))
+
+    mentions = F.transform("entities_json", lambda m: spelled(m, m, "$.text"))
+    resolved = F.flatten(
+        F.transform(
+            "resolved_entities_json",
+            lambda e: F.concat(
+                F.array(spelled(e, e, "$.canonical_name"), spelled(e, e, "$.matched_text")),
+                F.transform(nested.items(F.try_variant_get(e, "$.variant_evidence", "variant")), lambda v: spelled(v, e, "$.variant")),
+            ),
+        )
+    )
+    every = F.array_distinct(F.concat(F.coalesce(mentions, empty), F.coalesce(resolved, empty)))
+    rows = parsed.select(F.col("document_id").alias("scope"), F.inline(every))
+    return rows.where(F.col("kind").isin("person", "company")).distinct()
+
+
+def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All pairs of spellings of one person or company in one filing."""
+    linked = names.linked_spellings(filing_names(spark, sf_dir))
+    return names.spelling_pairs(linked).withColumnRenamed("scope", "document_id")
+
+
+def p6_entities(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every spelling of each filing with the entity it names."""
+    linked = names.linked_spellings(filing_names(spark, sf_dir))
+    return linked.select(F.col("scope").alias("document_id"), "kind", "name", F.ltrim("entity", F.lit("\x1e")).alias("entity"))
+
+
 def p7_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pairs of records whose texts share at least 0.60 of their three-word shingles."""
     chunks = latest_records(read_table(spark, sf_dir, "chunks"), "chunk_text")
@@ -55,7 +95,7 @@ def p7_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
     return groups.join(links, "record_id")
 
 
-QUERIES = {q.__name__: q for q in (p4_found, p4_forms, p5_found, p5_pieces, p7_found, p7_groups)}
+QUERIES = {q.__name__: q for q in (p4_found, p4_forms, p5_found, p5_pieces, p6_found, p6_entities, p7_found, p7_groups)}
 SQL = {
     "p5_found": """
         SELECT DISTINCT record_id, field_name FROM (
