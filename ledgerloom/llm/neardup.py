@@ -141,7 +141,7 @@ def similar_pairs(records: DataFrame, key: str, text: str, words: int = 5, thres
     classes = cut(text_classes(records, key, text, words, least_words), "classes")
     members = classes.select(key, "class_id")
     heads = members.groupBy("class_id").agg(F.min(key).alias("head"), F.count("*").alias("n"))
-    close = similar_classes(classes, threshold).select("class_a", "class_b")
+    close = cut(similar_classes(classes, threshold).select("class_a", "class_b"), "close")
     copies = heads.where("n > 1").select(F.col("class_id").alias("class_a"), F.col("class_id").alias("class_b"))
     links = close.union(copies)
     sized = links.join(heads.select(F.col("class_id").alias("class_a"), F.col("head").alias("head_a"), F.col("n").alias("n_a")), "class_a").join(

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerloom.llm import confusables, names, neardup, splitting
+from ledgerloom.llm import confusables, languages, names, neardup, splitting
 from ledgerloom.operators import nested
 from ledgerloom.operators.graph import components
 from ledgerloom.sources import latest_records, read_table
@@ -95,7 +95,19 @@ def p7_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
     return groups.join(links, "record_id")
 
 
-QUERIES = {q.__name__: q for q in (p4_found, p4_forms, p5_found, p5_pieces, p6_found, p6_entities, p7_found, p7_groups)}
+def p10_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Segments of the documents whose label is missing or wrong or that mix languages."""
+    rows = languages.detect(read_table(spark, sf_dir, "documents"))
+    case = F.col("label").isNull() | (F.col("label") != F.col("main_lang")) | (F.col("n_segments") > 1)
+    return rows.where(case).select("doc_id", "segment_no", "lang")
+
+
+def p10_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language and confidence of every segment of every document."""
+    return languages.detect(read_table(spark, sf_dir, "documents"))
+
+
+QUERIES = {q.__name__: q for q in (p4_found, p4_forms, p5_found, p5_pieces, p6_found, p6_entities, p7_found, p7_groups, p10_found, p10_segments)}
 SQL = {
     "p5_found": """
         SELECT DISTINCT record_id, field_name FROM (
