@@ -5,12 +5,36 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerloom.llm import confusables, languages, names, neardup, splitting
+from ledgerloom.llm import confusables, languages, names, neardup, similar, splitting
 from ledgerloom.operators import nested
 from ledgerloom.operators.graph import components
 from ledgerloom.sources import latest_records, read_table
 
 
+#: Links below this similarity aren't joined over when only pairs of at least 0.90 are wanted.
+P3_FLOOR = 0.80
+
+
+def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pairs of vectors with cosine 0.90 or more of which one is among the other's 5 nearest."""
+    members, _, graph = similar.build(read_table(spark, sf_dir, "index_vectors"), "faiss_id", "embedding", floor=P3_FLOOR)
+    near = similar.nearest(members, graph, 5).where(F.col("similarity") >= 0.9)
+    return near.select(F.least("id", "neighbour").alias("faiss_id_a"), F.greatest("id", "neighbour").alias("faiss_id_b")).distinct()
+
+
+def p3_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 5 nearest vectors of every vector whose id is divisible by 100, by greedy graph search."""
+    members, nodes, graph = similar.build(read_table(spark, sf_dir, "index_vectors"), "faiss_id", "embedding", rounds=1)
+    asked = members.where("id % 100 = 0").select("id", "node")
+    queries = asked.select("node").distinct().join(nodes.withColumnRenamed("id", "node"), "node").select(F.col("node").alias("query"), "unit")
+    found = similar.search(nodes, graph, queries, 6)
+    rows = members.where("rank <= 6").select("node", F.col("id").alias("neighbour"))
+    near = found.join(rows, "node").join(asked.select(F.col("node").alias("query"), F.col("id").alias("faiss_id")), "query").where("neighbour <> faiss_id")
+    order = similar.Window.partitionBy("faiss_id").orderBy(F.round("similarity", 9).desc(), "neighbour")
+    ranked = near.withColumn("rank", F.row_number().over(order)).where("rank <= 5")
+    return ranked.select("faiss_id", F.col("rank").cast("bigint").alias("rank"), "neighbour", F.round("similarity", 6).alias("similarity"))
+
+
 def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fields that aren't in the consistent form yet."""
     chunks = read_table(spark, sf_dir, "chunks")
@@ -107,7 +131,7 @@ def p10_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
     return languages.detect(read_table(spark, sf_dir, "documents"))
 
 
-QUERIES = {q.__name__: q for q in (p4_found, p4_forms, p5_found, p5_pieces, p6_found, p6_entities, p7_found, p7_groups, p10_found, p10_segments)}
+QUERIES = {q.__name__: q for q in (p3_found, p3_search, p4_found, p4_forms, p5_found, p5_pieces, p6_found, p6_entities, p7_found, p7_groups, p10_found, p10_segments)}
 SQL = {
     "p5_found": """
         SELECT DISTINCT record_id, field_name FROM (
