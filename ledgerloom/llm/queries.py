@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerloom.llm import confusables, languages, names, neardup, similar, splitting
+from ledgerloom.llm import confusables, languages, mixing, names, neardup, packing, similar, splitting, tokens
 from ledgerloom.operators import nested
 from ledgerloom.operators.graph import components
 from ledgerloom.sources import latest_records, read_table
@@ -119,6 +119,33 @@ def p7_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
     return groups.join(links, "record_id")
 
 
+def p8_containers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every text's place in the containers of every capacity."""
+    documents = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    capacities = [(r["pack_name"], r["capacity_tokens"]) for r in read_table(spark, sf_dir, "pack_sizes").orderBy("capacity_tokens").collect()]
+    return packing.pack_all(tokens.with_token_counts(documents), "doc_id", "n_tokens", capacities)
+
+
+def p8_fill(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Containers, tokens and unused share of every capacity."""
+    return packing.fill_report(p8_containers(spark, sf_dir))
+
+
+def _mixture(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    documents = mixing.distinct_texts(read_table(spark, sf_dir, "documents"), "doc_id", "text", "source")
+    return mixing.mix(tokens.with_token_counts(documents), read_table(spark, sf_dir, "mix_targets"))
+
+
+def p9_selection(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The texts taken of every target source and how many times."""
+    return _mixture(spark, sf_dir)[0]
+
+
+def p9_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Target and reached share of every target source."""
+    return _mixture(spark, sf_dir)[1]
+
+
 def p10_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Segments of the documents whose label is missing or wrong or that mix languages."""
     rows = languages.detect(read_table(spark, sf_dir, "documents"))
@@ -131,7 +158,7 @@ def p10_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
     return languages.detect(read_table(spark, sf_dir, "documents"))
 
 
-QUERIES = {q.__name__: q for q in (p3_found, p3_search, p4_found, p4_forms, p5_found, p5_pieces, p6_found, p6_entities, p7_found, p7_groups, p10_found, p10_segments)}
+QUERIES = {q.__name__: q for q in (p3_found, p3_search, p4_found, p4_forms, p5_found, p5_pieces, p6_found, p6_entities, p7_found, p7_groups, p8_containers, p8_fill, p9_selection, p9_shares, p10_found, p10_segments)}
 SQL = {
     "p5_found": """
         SELECT DISTINCT record_id, field_name FROM (
