@@ -102,7 +102,7 @@ def without_page_rules(text: Column) -> Column:
 def clean_name(name: Column) -> Column:
     """Lower case words: possessive dropped, punctuation as blanks."""
     plain = F.regexp_replace(strip(name), r"(?i)(?:'s|’s)\s*$", "")
-    plain = F.regexp_replace(F.replace(plain, F.lit(" "), F.lit(" ")), r"(?U)[^\w\s]", " ")
+    plain = F.regexp_replace(F.replace(plain, F.lit(" "), F.lit(" ")), r"(?U)[^\p{L}\p{N}_\s]", " ")
     return F.lower(strip(F.regexp_replace(plain, r"(?U)\s+", " ")))
 
 
@@ -120,7 +120,7 @@ def normalize_person(name: Column) -> Column:
 
 def keep_org(name: Column) -> Column:
     """Whether a name is an organisation's and no boilerplate; false for null and for names without letters or digits."""
-    plain = F.lower(F.trim(F.regexp_replace(name, r"(?U)[^\w]+", " ")))
+    plain = F.lower(F.trim(F.regexp_replace(name, r"[^\p{L}\p{N}_]+", " ")))
     stop = R.ORG_STOPWORDS + R.ORG_STOP_PHRASES
     return F.coalesce((plain != "") & ~plain.isin(*stop) & ~name.rlike(f"(?i){R.ORG_BOILERPLATE}"), F.lit(False))
 
@@ -144,7 +144,7 @@ def is_heading_line(line: Column) -> Column:
 def keep_person(name: Column, text: Column, position: Column) -> Column:
     """The layers that need no tagger: words, line, and a title before a single word; false for null."""
     words = F.filter(F.split(name, r"\s+"), lambda w: w != "")
-    plain = F.transform(words, lambda w: F.lower(F.regexp_replace(w, r"(?U)[^\w]+", "")))
+    plain = F.transform(words, lambda w: F.lower(F.regexp_replace(w, r"[^\p{L}\p{N}_]+", "")))
     line = line_at(text, position)
     before = F.lower(F.regexp_extract(F.substring(text, 1, position), r"(\S+?)\.?\s*$", 1))
     shape = F.exists(plain, lambda w: w != "") & ~F.exists(plain, lambda w: w.isin(*R.PERSON_STOPWORDS)) & ~name.rlike(r"\d")

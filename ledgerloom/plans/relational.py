@@ -224,7 +224,7 @@ def drop_page_sep(spark, sf_dir):
     return filings(spark, sf_dir, "raw_text").where("raw_text <> ''").select("document_id", C.without_page_rules(F.col("raw_text")).alias("body"))
 
 
-_ORG_SQL = "lower(trim(regexp_replace(name, '[^\\p{L}\\p{M}\\p{N}_]+', ' ', 'g')))"
+_ORG_SQL = "lower(trim(regexp_replace(name, '[^\\p{L}\\p{N}_]+', ' ', 'g')))"
 
 
 _NAMES_SQL = f"(SELECT DISTINCT trim(unnest(string_split(entity_names, ', '))) AS name FROM {SQL_CHUNKS} WHERE entity_names IS NOT NULL)"
@@ -241,7 +241,7 @@ def keep_org(spark, sf_dir):
     return _names(spark, sf_dir).where(C.keep_org(F.col("name")))
 
 
-_CLEAN_SQL = "lower(trim(regexp_replace(regexp_replace(replace(regexp_replace(trim(name), '(?i)(?:''s|’s)\\s*$', ''), chr(160), ' '), '[^\\p{L}\\p{M}\\p{N}_\\s]', ' ', 'g'), '\\s+', ' ', 'g')))"
+_CLEAN_SQL = "lower(trim(regexp_replace(regexp_replace(replace(regexp_replace(trim(name), '(?i)(?:''s|’s)\\s*$', ''), chr(160), ' '), '[^\\p{L}\\p{N}_\\s]', ' ', 'g'), '\\s+', ' ', 'g')))"
 _COMPANY_SQL = f"regexp_replace(regexp_replace({_CLEAN_SQL}, '^(?:(?:the|an) )+(\\S)', '\\1'), '(\\S)(?: (?:{'|'.join(R.LEGAL_SUFFIXES)}))+$', '\\1')"
 
 
