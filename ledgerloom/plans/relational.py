@@ -611,14 +611,24 @@ def l2_normalize(spark, sf_dir):
     return e.select("vec_id", F.round(norm, 6).alias("norm"), F.round(F.get("embedding", F.lit(0)).cast("double") / norm, 6).alias("first"))
 
 
+#: Queries of a block: what a search against all rows broadcasts at a time.
+QUERY_BLOCK = 4_096
+
+
 def _knn(spark, sf_dir, wanted, k):
+    """The k nearest of each wanted vector, all rows against one bounded block of queries after the other."""
     e = read_table(spark, sf_dir, "embeddings")
     asked = e.where(wanted).select(F.col("vec_id").alias("query_id"), F.col("embedding").alias("q"))
+    blocks = max(1, -(-asked.count() // QUERY_BLOCK))
     dot = F.aggregate(F.zip_with("q", "embedding", lambda a, b: a.cast("double") * b.cast("double")), F.lit(0.0), lambda s, x: s + x)
-    # A stated set of queries against all rows: the queries, one in a hundred, are the side that moves.
-    scored = e.join(F.broadcast(asked)).select("query_id", F.col("vec_id").alias("neighbour_id"), F.round(dot, 6).alias("score"))
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "neighbour_id"))
-    return scored.withColumn("rank", rank.cast("bigint")).where(F.col("rank") <= k)
+    out = None
+    for i in range(blocks):
+        block = asked.where(F.pmod(F.xxhash64("query_id"), F.lit(blocks)) == i)
+        scored = e.join(F.broadcast(block)).select("query_id", F.col("vec_id").alias("neighbour_id"), F.round(dot, 6).alias("score"))
+        best = scored.withColumn("rank", rank.cast("bigint")).where(F.col("rank") <= k)
+        out = best if out is None else out.unionAll(best)
+    return out
 
 
 _KNN_SQL = """SELECT query_id, neighbour_id, score, CAST(rank AS BIGINT) AS rank FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, neighbour_id) AS rank FROM
