@@ -159,11 +159,26 @@ def p10_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {q.__name__: q for q in (p3_found, p3_search, p4_found, p4_forms, p5_found, p5_pieces, p6_found, p6_entities, p7_found, p7_groups, p8_containers, p8_fill, p9_selection, p9_shares, p10_found, p10_segments)}
+_TEXTS = "(SELECT record_id, max(chunk_text) AS t FROM chunks WHERE record_id IS NOT NULL GROUP BY 1)"
+_WORDS = f"(SELECT record_id, regexp_extract_all(lower(t), '[\\p{{L}}\\p{{N}}]+') AS w FROM {_TEXTS})"
+_SHINGLES = f"(SELECT DISTINCT record_id, unnest(list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2])) AS s FROM {_WORDS} WHERE len(w) >= 20)"
+
 SQL = {
+    "p3_found": """
+        WITH v AS (SELECT faiss_id AS id, CAST(embedding AS DOUBLE[64]) AS e FROM index_vectors WHERE len(embedding) = 64 AND list_sum(list_transform(embedding, lambda x: x * x)) > 0),
+        s AS (SELECT a.id AS a, b.id AS b, round(array_cosine_similarity(a.e, b.e), 9) AS c FROM v a JOIN v b ON a.id <> b.id),
+        r AS (SELECT *, row_number() OVER (PARTITION BY a ORDER BY c DESC, b) AS k FROM s WHERE c > 0.85)
+        SELECT DISTINCT least(a, b) AS faiss_id_a, greatest(a, b) AS faiss_id_b FROM r WHERE k <= 5 AND c >= 0.9
+    """,
     "p5_found": """
         SELECT DISTINCT record_id, field_name FROM (
           SELECT record_id, 'chunk_text' AS field_name, chunk_text AS t FROM chunks
           UNION ALL SELECT record_id, 'retrieval_text', retrieval_text FROM chunks)
         WHERE length(t) > 2000 AND record_id IS NOT NULL
     """,
+    "p7_found": f"""
+        WITH s AS {_SHINGLES}, n AS (SELECT record_id, count(*) AS n FROM s GROUP BY 1),
+        b AS (SELECT x.record_id AS a, y.record_id AS b, count(*) AS c FROM s x JOIN s y ON x.s = y.s AND x.record_id < y.record_id GROUP BY 1, 2)
+        SELECT a AS record_id_a, b AS record_id_b FROM b JOIN n na ON na.record_id = a JOIN n nb ON nb.record_id = b WHERE c >= 0.6 * (na.n + nb.n - c) - 1e-9
+    """,
 }
