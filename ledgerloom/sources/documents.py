@@ -39,7 +39,8 @@ def read_text_documents(spark: SparkSession, folder: str, limit: int | None = No
     """One row per .txt file (any case of the suffix), each read whole; with a limit, the first by path.
 
     Unreadable files are skipped by Spark's own setting
-    (spark.sql.files.ignoreCorruptFiles); an empty folder gives no rows.
+    (spark.sql.files.ignoreCorruptFiles); empty files and an empty folder give no
+    rows.
     """
     files = spark.read.format("binaryFile").option("pathGlobFilter", "*.[tT][xX][tT]").load(folder)
     out = _described(files.select(local_path(F.col("path")).alias("source_path"), decoded(F.col("content")).alias("raw_text")))
