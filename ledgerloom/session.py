@@ -58,3 +58,12 @@ def drop_cut(df: DataFrame) -> None:
     for root in {os.path.dirname(f) for f in df.inputFiles()}:
         path = jvm.org.apache.hadoop.fs.Path(root)
         path.getFileSystem(conf).delete(path, True)
+
+
+def reach_workers(spark: SparkSession) -> None:
+    """Let Python workers import this package from where the driver has it, unless it is installed there anyway."""
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    environment = spark.sparkContext.environment
+    paths = [p for p in environment.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if root not in paths:
+        environment["PYTHONPATH"] = os.pathsep.join([root, *paths])
