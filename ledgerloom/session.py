@@ -51,6 +51,15 @@ def cut(df: DataFrame, label: str = "step") -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """`df` over all cores, for costly row-wise work, where a small input has fewer partitions than that.
+
+    Inputs of as many splits as cores and more are left as they are read.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def drop_cut(df: DataFrame) -> None:
     """Delete the files behind a DataFrame that `cut` returned and nothing reads any more."""
     jvm = df.sparkSession.sparkContext._jvm
