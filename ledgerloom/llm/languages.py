@@ -24,6 +24,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ledgerloom.session import spread
+
 DIMENSIONS = 512
 #: The sample that centroids are fitted on: documents per language, in the order of a hash of their ids.
 SAMPLE_DOCS = 250
@@ -119,9 +121,11 @@ def _counts(words: _Words, parts: list[list[str]]) -> np.ndarray:
     # In blocks, so that the rows gathered at a time stay few.
     for block in np.array_split(filled, max(1, int(sizes.sum()) // 20_000)):
         if len(block):
-            ids = [i for k in block for i in words.ids(parts[k])]
-            starts = np.concatenate([[0], np.cumsum(sizes[block])[:-1]])
-            out[block] = np.add.reduceat(words.matrix[ids], starts)
+            # Counts of words by sentence, times the words' vectors: one product instead of a sum a sentence.
+            ids, at = np.unique([i for k in block for i in words.ids(parts[k])], return_inverse=True)
+            row = np.repeat(np.arange(len(block)), sizes[block])
+            often = np.bincount(row * len(ids) + at, minlength=len(block) * len(ids)).reshape(len(block), len(ids))
+            out[block] = often.astype(np.float32) @ words.matrix[ids]
     return out
 
 
@@ -257,7 +261,7 @@ def segment_languages(documents: DataFrame, key: str, text: str, label: str, mod
 
     schema = f"{key} {kind}, label string, segment_no bigint, lang string, confidence double, n_chars bigint, main_lang string, n_segments bigint"
     rows = documents.where(F.length(text) > 0).select(key, F.col(text).alias("text"), label_code(F.col(label)).alias("label"))
-    return rows.mapInPandas(batches, schema)
+    return spread(rows).mapInPandas(batches, schema)
 
 
 def detect(documents: DataFrame, key: str = "doc_id", text: str = "text", label: str = "lang") -> DataFrame:

@@ -11,6 +11,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ledgerloom.session import spread
+
 #: Where the tokenizer's ranks are read; the files must be at this path on every executor.
 RANKS = os.environ.get("LEDGERLOOM_RANKS", "/opt/tokenizers/byte_bpe_50k.tiktoken")
 # Fixed value: the public splitting pattern of this vocabulary.
@@ -41,4 +43,4 @@ def with_token_counts(records: DataFrame, text: str = "text", path: str = RANKS,
             yield pdf
 
     schema = ", ".join([*(f"`{c}` {kinds[c]}" for c in rest), f"{name} bigint"])
-    return records.select(*rest, F.col(text)).mapInPandas(count, schema)
+    return spread(records.select(*rest, F.col(text))).mapInPandas(count, schema)
