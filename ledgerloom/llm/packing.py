@@ -20,8 +20,9 @@ from ledgerloom.session import cut
 
 #: Buckets per capacity.
 BUCKETS = 192
-#: Parts that each bucket is ranked in, so that no bucket is sorted in one task.
+#: Parts that each bucket is ranked in, so that no bucket is sorted in one task: at least this many, more where pieces are many.
 SALTS = 64
+PART_PIECES = 200_000
 
 
 def bucket_bounds(histogram: dict[int, int], buckets: int = BUCKETS) -> list[int]:
@@ -146,15 +147,16 @@ def pack(sized: DataFrame, key: str, size: str, capacity: int, buckets: int = BU
     )
     bound_list = F.array(*(F.lit(b).cast("bigint") for b in bounds)) if bounds else F.array().cast("array<bigint>")
     bucketed = cutup.withColumn("bucket", F.element_at(F.filter(bound_list, lambda b: b >= F.col("n_tokens")), 1) if bounds else F.lit(0).cast("bigint"))
-    salted = bucketed.withColumn("salt", F.pmod(F.xxhash64(key, "piece_no"), F.lit(SALTS)))
+    salts = max(SALTS, sum(histogram.values()) // PART_PIECES)
+    salted = bucketed.withColumn("salt", F.pmod(F.xxhash64(key, "piece_no"), F.lit(salts)))
     sums = salted.groupBy("bucket", "salt").agg(F.count("*").alias("n"))
     before = Window.partitionBy("bucket").orderBy("salt").rowsBetween(Window.unboundedPreceding, -1)
     offsets = sums.select("bucket", "salt", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("offset"))
     order = Window.partitionBy("bucket", "salt").orderBy(key, "piece_no")
-    # One row per bucket and salt, and the plan: both bounded by constants, however large the input.
-    ranked = salted.withColumn("n", F.row_number().over(order)).join(F.broadcast(offsets), ["bucket", "salt"])
+    ranked = salted.withColumn("n", F.row_number().over(order)).join(offsets, ["bucket", "salt"])
     ranked = ranked.withColumn("rank", F.col("offset") + F.col("n") - 1)
     inside = (F.col("rank") >= F.col("first_rank")) & (F.col("rank") < F.col("first_rank") + F.col("each") * F.col("containers"))
+    # The plan is bounded by the number of buckets, however large the input.
     placed = ranked.join(F.broadcast(slots.withColumnRenamed("bucket", "b")), (F.col("bucket") == F.col("b")) & inside)
     number = F.col("container") + F.floor((F.col("rank") - F.col("first_rank")) / F.col("each"))
     return placed.select(number.cast("bigint").alias("container_no"), key, "piece_no", "first_token", "n_tokens")
