@@ -17,17 +17,17 @@ P3_FLOOR = 0.80
 
 def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pairs of vectors with cosine 0.90 or more of which one is among the other's 5 nearest."""
-    members, _, graph = similar.build(read_table(spark, sf_dir, "index_vectors"), "faiss_id", "embedding", floor=P3_FLOOR)
+    members, _, graph, _ = similar.build(read_table(spark, sf_dir, "index_vectors"), "faiss_id", "embedding", floor=P3_FLOOR)
     near = similar.nearest(members, graph, 5).where(F.col("similarity") >= 0.9)
     return near.select(F.least("id", "neighbour").alias("faiss_id_a"), F.greatest("id", "neighbour").alias("faiss_id_b")).distinct()
 
 
 def p3_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The 5 nearest vectors of every vector whose id is divisible by 100, by greedy graph search."""
-    members, nodes, graph = similar.build(read_table(spark, sf_dir, "index_vectors"), "faiss_id", "embedding", rounds=1)
+    members, nodes, graph, forest = similar.build(read_table(spark, sf_dir, "index_vectors"), "faiss_id", "embedding", keep=12, rounds=1)
     asked = members.where("id % 100 = 0").select("id", "node")
     queries = asked.select("node").distinct().join(nodes.withColumnRenamed("id", "node"), "node").select(F.col("node").alias("query"), "unit")
-    found = similar.search(nodes, graph, queries, 6)
+    found = similar.search(nodes, graph, queries, 6, forest)
     rows = members.where("rank <= 6").select("node", F.col("id").alias("neighbour"))
     near = found.join(rows, "node").join(asked.select(F.col("node").alias("query"), F.col("id").alias("faiss_id")), "query").where("neighbour <> faiss_id")
     order = similar.Window.partitionBy("faiss_id").orderBy(F.round("similarity", 9).desc(), "neighbour")

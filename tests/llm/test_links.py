@@ -115,7 +115,7 @@ def test_neighbours_against_brute_force(spark):
     centres = rng.standard_normal((60, 16))
     x = np.concatenate([c + 0.15 * rng.standard_normal((12, 16)) for c in centres] + [centres[:1] * 2, centres[:1]])
     extra = [(9_000, None), (9_001, []), (9_002, [0.0] * 16), (9_003, [1.0] * 15), (9_004, [float("nan")] * 16), (9_005, [None] * 16), (None, [1.0] * 16)]
-    members, _, graph = V.build(vectors(spark, x, extra), "id", "v", dims=16, leaf=64)
+    members, _, graph, _ = V.build(vectors(spark, x, extra), "id", "v", dims=16, leaf=64)
     got = {}
     for r in V.nearest(members, graph, 5).collect():
         got.setdefault(r.id, {})[r.neighbour] = r.similarity
@@ -132,15 +132,15 @@ def test_neighbours_against_brute_force(spark):
 def test_search_and_empty_tables(spark):
     rng = np.random.default_rng(5)
     x = np.concatenate([c + 0.2 * rng.standard_normal((15, 16)) for c in rng.standard_normal((40, 16))])
-    members, nodes, graph = V.build(vectors(spark, x), "id", "v", dims=16, leaf=64)
+    members, nodes, graph, forest = V.build(vectors(spark, x), "id", "v", dims=16, leaf=64)
     asked = nodes.where("id % 20 = 0").selectExpr("id AS query", "unit")
     found = {}
-    for r in V.search(nodes, graph, asked, 6).collect():
+    for r in V.search(nodes, graph, asked, 6, forest).collect():
         found.setdefault(r.query, set()).add(r.node)
     u = x / np.linalg.norm(x, axis=1, keepdims=True)
     best = {q: set(np.argsort(-(u @ u[q]))[:6]) for q in found}
     assert len(found) == 30 and np.mean([len(best[q] & found[q]) / 6 for q in found]) >= 0.9
-    members, _, graph = V.build(vectors(spark, x[:0]), "id", "v", dims=16)
+    members, _, graph, _ = V.build(vectors(spark, x[:0]), "id", "v", dims=16)
     assert V.nearest(members, graph, 5).count() == 0
-    members, _, graph = V.build(vectors(spark, x[:1]), "id", "v", dims=16)
+    members, _, graph, _ = V.build(vectors(spark, x[:1]), "id", "v", dims=16)
     assert V.nearest(members, graph, 5).count() == 0
