@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerloom import sinks
+from ledgerloom.functions import columns as C
 from ledgerloom.operators import enrich, retrieval
 from ledgerloom.plans.base import SQL_CHUNKS, SQL_FILINGS, chunks, filings
 from ledgerloom.plans.relational import context
@@ -114,11 +115,15 @@ def answer_context(spark, sf_dir):
 def stream_sections(spark, sf_dir):
     """Sections of the filings' openings, as a stream of files."""
     folder = _folder(spark, "incoming")
-    f = filings(spark, sf_dir, "raw_text").where("raw_text IS NOT NULL").select(F.regexp_replace("raw_text", "\n", "\r").alias("value"))
-    f.repartition(8).write.option("lineSep", "\n").option("compression", "none").text(folder)
+    f = filings(spark, sf_dir, "raw_text").where("raw_text IS NOT NULL")
+    f.foreachPartition(sinks.text_files(folder, "document_id", "raw_text"))
     q = files.start_sections(spark, folder, out := _folder(spark, "streamed"), _folder(spark, "progress"))
     q.awaitTermination()
-    return spark.read.parquet(out).select("document_id", "section_no", "heading", "section_category")
+    # The stream's ids are those of paths; the path is known of every filing.
+    path = F.concat(F.lit(f"{documents.path_of(folder)}/"), "document_id", F.lit(".txt"))
+    known = f.select("document_id", C.short_md5(path).alias("file_id"))
+    found = spark.read.parquet(out).withColumnRenamed("document_id", "file_id").join(known, "file_id")
+    return found.select("document_id", "section_no", "heading", "section_category")
 
 
 @query("""SELECT time_bucket(INTERVAL '1 hour', ts) AS starts, event_type, CAST(count(*) AS BIGINT) AS n, round(sum(value), 4) AS total FROM events GROUP BY 1, 2""")

@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import html
+from collections.abc import Callable, Iterator
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -26,6 +27,21 @@ def write_parquet(df: DataFrame, path: str, *partitions: str) -> None:
     df.write.mode("overwrite").partitionBy(*partitions).parquet(path)
 
 
+def text_files(folder: str, name: str, text: str) -> Callable[[Iterator[Row]], None]:
+    """For foreachPartition: each row's text as a file of its own, named after the row, in a folder that all executors reach."""
+
+    def write(rows: Iterator[Row]) -> None:
+        from pyarrow import fs
+
+        system, root = fs.FileSystem.from_uri(folder)
+        system.create_dir(root, recursive=True)
+        for row in rows:
+            with system.open_output_stream(f"{root}/{row[name]}.txt") as out:
+                out.write(row[text].encode())
+
+    return write
+
+
 def append_log(df: DataFrame, path: str) -> None:
     """Rows appended to a log of CSV parts with headers."""
     df.write.mode("append").option("header", True).csv(path)

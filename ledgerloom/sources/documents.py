@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -24,6 +26,11 @@ def local_path(uri: Column) -> Column:
     return F.regexp_replace(F.url_decode(F.replace(uri, F.lit("+"), F.lit("%2B"))), r"^file:(?://)?", "")
 
 
+def path_of(folder: str) -> str:
+    """A folder's path without the scheme, as local_path gives it."""
+    return re.sub(r"^file:(?://)?", "", folder)
+
+
 def _described(files: DataFrame) -> DataFrame:
     path = F.col("source_path")
     return files.select(

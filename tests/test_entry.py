@@ -33,3 +33,15 @@ def test_documents_from_files(spark, tmp_path):
     assert sorted(r.heading for r in spark.read.parquet(str(tmp_path / "out")).collect()) == ["Document", "ITEM 1. BUSINESS"]
     pages = spark.createDataFrame([("p", 2, "b"), ("p", 1, "a"), ("p", 3, None)], "source_path string, page_number int, text string")
     assert documents.documents_from_pages(pages).first().raw_text == "a\nb\n"
+
+
+@pytest.mark.skipif(not os.path.isdir(SMALL), reason="the test tables aren't here")
+def test_streamed_sections_keep_every_filing(spark):
+    from ledgerloom.operators import sections
+    from ledgerloom.plans.base import filings
+
+    opened = filings(spark, SMALL, "raw_text").where("raw_text IS NOT NULL")
+    got = sorted(map(tuple, e.queries()["stream_sections"](spark, SMALL).collect()), key=str)
+    assert {r[0] for r in got} == {r.document_id for r in opened.collect()}
+    want = sections.parse_sections(opened).select("document_id", "section_no", "heading", "section_category")
+    assert got == sorted(map(tuple, want.collect()), key=str)
