@@ -17,10 +17,20 @@ from ledgerloom.session import cut
 PART_ROWS = 20_000
 
 
-def distinct_texts(documents: DataFrame, key: str, text: str, source: str) -> DataFrame:
-    """(key, source, text) of one row per text: the smallest key among its copies, in whatever source."""
-    first = documents.where(F.length(text) > 0).groupBy(F.md5(text).alias("digest")).agg(F.min(key).alias(key))
-    return documents.select(key, source, text).join(first.select(key), key, "left_semi")
+def distinct_texts(documents: DataFrame, key: str, text: str, source: str, targets: DataFrame | None = None) -> DataFrame:
+    """(key, source, text) of one row per text: the smallest key among its copies, in whatever source.
+
+    With `targets`, only copies in target sources count, so a copy in another
+    or no source takes no text away; of those, copies in sources that can be
+    drawn from come first.
+    """
+    rows = documents.where(F.length(text) > 0).select(key, source, text).withColumn("__late", F.lit(False))
+    if targets is not None:
+        drawn = (F.coalesce(F.max("target_share"), F.lit(0.0)) > 0) & (F.max(F.coalesce("max_repeats", F.lit(1))) > 0)
+        aims = targets.dropna(subset=["source"]).groupBy(F.col("source").alias("__aim")).agg((~drawn).alias("__late"))
+        rows = rows.drop("__late").join(F.broadcast(aims), F.col(source) == F.col("__aim")).select(key, source, text, "__late")
+    first = rows.groupBy(F.md5(text).alias("digest")).agg(F.min(F.struct("__late", F.col(key).alias("__key"))).alias("__first"))
+    return rows.select(key, source, text).join(first.select(F.col("__first.__key").alias(key)), key, "left_semi")
 
 
 def mix(sized: DataFrame, targets: DataFrame, key: str = "doc_id", source: str = "source", size: str = "n_tokens", seed: int = 42, total: int | None = None) -> tuple[DataFrame, DataFrame]:

@@ -132,8 +132,9 @@ def p8_fill(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _mixture(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    documents = mixing.distinct_texts(read_table(spark, sf_dir, "documents"), "doc_id", "text", "source")
-    return mixing.mix(tokens.with_token_counts(documents), read_table(spark, sf_dir, "mix_targets"))
+    targets = read_table(spark, sf_dir, "mix_targets")
+    documents = mixing.distinct_texts(read_table(spark, sf_dir, "documents"), "doc_id", "text", "source", targets)
+    return mixing.mix(tokens.with_token_counts(documents), targets)
 
 
 def p9_selection(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -92,3 +92,11 @@ def test_token_counts(spark):
     enc = T.encoding(T.RANKS)
     assert got == {1: 2, 2: 0, 3: 0, 4: len(enc.encode_ordinary("<|endoftext|> é日"))}
     assert enc.decode(enc.encode_ordinary("<|endoftext|> é日")) == "<|endoftext|> é日"
+
+
+def test_copies_outside_the_targets_take_no_text_away(spark):
+    rows = [(1, None, "x"), (2, "other", "y"), (3, "a", "x"), (4, "a", "y"), (5, "a", "y"), (6, "none", "z"), (7, "a", "z"), (8, "none", "only"), (9, "other", "gone")]
+    df = spark.createDataFrame(rows, "doc_id long, source string, text string")
+    targets = spark.createDataFrame([*TARGETS, (None, 0.5, 1)], "source string, target_share double, max_repeats long")
+    got = X.distinct_texts(df, "doc_id", "text", "source", targets).collect()
+    assert sorted((r.doc_id, r.source) for r in got) == [(3, "a"), (4, "a"), (7, "a"), (8, "none")]
