@@ -22,6 +22,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ledgerloom.operators.graph import components
 from ledgerloom.session import cut
 
 SIDE = 10
@@ -125,35 +126,61 @@ def similar_classes(classes: DataFrame, threshold: float) -> DataFrame:
     )
 
 
-#: Copies beyond this many pairs of records are linked through their class's first record.
+#: With stars, copies beyond this many pairs of records are linked through their class's first record.
 EXPAND = 10_000
 
 
-def similar_pairs(records: DataFrame, key: str, text: str, words: int = 5, threshold: float = 0.8, least_words: int = 5) -> DataFrame:
+def linked_classes(records: DataFrame, key: str, text: str, words: int, threshold: float, least_words: int) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(members, heads, close): key and class_id; class_id, head (the first record) and n of each class; pairs of classes that reach the threshold."""
+    classes = cut(text_classes(records, key, text, words, least_words), "classes")
+    members = classes.select(key, "class_id")
+    heads = members.groupBy("class_id").agg(F.min(key).alias("head"), F.count("*").alias("n"))
+    return members, heads, cut(similar_classes(classes, threshold).select("class_a", "class_b"), "close")
+
+
+def similar_pairs(records: DataFrame, key: str, text: str, words: int = 5, threshold: float = 0.8, least_words: int = 5, stars: bool = True) -> DataFrame:
     """(key_a, key_b), a < b, of the records whose texts reach the threshold.
 
     Null texts and texts of fewer than `least_words` words take no part.
-    Records of one class are copies: each pair of them is a result. A class or
-    a pair of classes with more than EXPAND pairs of records is given as a
-    star instead: every record with the first record of the other side, so that
-    the result grows with the records and no link between texts is lost.
+    Records of one class are copies: each pair of them is a result. With
+    `stars`, a class or a pair of classes with more than EXPAND pairs of records
+    is given as a star instead: every record with the first record of the other
+    side, so that the result grows with the records and groups stay connected.
+    Without, every pair is given.
     """
-    classes = cut(text_classes(records, key, text, words, least_words), "classes")
-    members = classes.select(key, "class_id")
-    heads = members.groupBy("class_id").agg(F.min(key).alias("head"), F.count("*").alias("n"))
-    close = cut(similar_classes(classes, threshold).select("class_a", "class_b"), "close")
+    members, heads, close = linked_classes(records, key, text, words, threshold, least_words)
     copies = heads.where("n > 1").select(F.col("class_id").alias("class_a"), F.col("class_id").alias("class_b"))
     links = close.union(copies)
+    of_a = members.select(F.col("class_id").alias("class_a"), F.col(key).alias("member_a"))
+    of_b = members.select(F.col("class_id").alias("class_b"), F.col(key).alias("member_b"))
+    ordered = [F.least("member_a", "member_b").alias(f"{key}_a"), F.greatest("member_a", "member_b").alias(f"{key}_b")]
+    if not stars:
+        # A class meets itself in both orders, two classes in one; so no pair comes twice.
+        every = links.join(of_a, "class_a").join(of_b, "class_b").where("class_a <> class_b OR member_a < member_b")
+        return every.select(*ordered)
     sized = links.join(heads.select(F.col("class_id").alias("class_a"), F.col("head").alias("head_a"), F.col("n").alias("n_a")), "class_a").join(
         heads.select(F.col("class_id").alias("class_b"), F.col("head").alias("head_b"), F.col("n").alias("n_b")), "class_b"
     )
-    whole = sized.withColumn("whole", F.col("n_a") * F.col("n_b") <= EXPAND)
-    of_a = members.select(F.col("class_id").alias("class_a"), F.col(key).alias("member_a"))
-    of_b = members.select(F.col("class_id").alias("class_b"), F.col(key).alias("member_b"))
+    n_pairs = F.when(F.col("class_a") == F.col("class_b"), F.col("n_a") * (F.col("n_a") - 1) / 2).otherwise(F.col("n_a") * F.col("n_b"))
+    whole = sized.withColumn("whole", n_pairs <= EXPAND)
     expanded = whole.where("whole").join(of_a, "class_a").join(of_b, "class_b").select("member_a", "member_b")
     star = whole.where("NOT whole")
     to_head_b = star.join(of_a, "class_a").select("member_a", F.col("head_b").alias("member_b"))
     to_head_a = star.where("class_a <> class_b").join(of_b, "class_b").where("member_b <> head_b").select(F.col("head_a").alias("member_a"), "member_b")
     pairs = expanded.union(to_head_b).union(to_head_a).where("member_a <> member_b")
-    pairs = pairs.select(F.least("member_a", "member_b").alias(f"{key}_a"), F.greatest("member_a", "member_b").alias(f"{key}_b"))
-    return pairs.distinct()
+    return pairs.select(*ordered).distinct()
+
+
+def similar_groups(records: DataFrame, key: str, text: str, words: int = 5, threshold: float = 0.8, least_words: int = 5) -> DataFrame:
+    """key, group_id, n_links of every record with a similar one: the first record of its group, and how many it is similar to.
+
+    Both come from the classes and their sizes, so no pair of records is made.
+    """
+    members, heads, close = linked_classes(records, key, text, words, threshold, least_words)
+    sides = close.select(F.col("class_a").alias("class_id"), F.col("class_b").alias("other")).union(close.select("class_b", "class_a"))
+    others = sides.join(heads.select(F.col("class_id").alias("other"), F.col("n").alias("n_other")), "other").groupBy("class_id").agg(F.sum("n_other").alias("n_others"))
+    ends = close.join(heads.select(F.col("class_id").alias("class_a"), F.col("head").alias("head_a")), "class_a").join(heads.select(F.col("class_id").alias("class_b"), F.col("head").alias("head_b")), "class_b")
+    groups = components(ends, "head_a", "head_b").select(F.col("node").alias("head"), "component")
+    n_links = F.col("n") - 1 + F.coalesce("n_others", F.lit(0))
+    sized = heads.join(others, "class_id", "left").join(groups, "head", "left").select("class_id", F.coalesce("component", "head").alias("group_id"), n_links.alias("n_links"))
+    return members.join(sized.where("n_links > 0"), "class_id").select(key, "group_id", "n_links")

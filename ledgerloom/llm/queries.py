@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 from ledgerloom.llm import confusables, languages, mixing, names, neardup, packing, similar, splitting, tokens
 from ledgerloom.operators import nested
-from ledgerloom.operators.graph import components
 from ledgerloom.sources import latest_records, read_table
 
 
@@ -107,16 +106,13 @@ def p6_entities(spark: SparkSession, sf_dir: str) -> DataFrame:
 def p7_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pairs of records whose texts share at least 0.60 of their three-word shingles."""
     chunks = latest_records(read_table(spark, sf_dir, "chunks"), "chunk_text")
-    return neardup.similar_pairs(chunks, "record_id", "chunk_text", words=3, threshold=0.6, least_words=20)
+    return neardup.similar_pairs(chunks, "record_id", "chunk_text", words=3, threshold=0.6, least_words=20, stars=False)
 
 
 def p7_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per record with a near duplicate: its group and its number of links."""
-    pairs = neardup.cut(p7_found(spark, sf_dir), "pairs")
-    ends = pairs.select(F.col("record_id_a").alias("record_id")).union(pairs.select("record_id_b"))
-    links = ends.groupBy("record_id").agg(F.count("*").alias("n_links"))
-    groups = components(pairs, "record_id_a", "record_id_b").select(F.col("node").alias("record_id"), F.col("component").alias("group_id"))
-    return groups.join(links, "record_id")
+    chunks = latest_records(read_table(spark, sf_dir, "chunks"), "chunk_text")
+    return neardup.similar_groups(chunks, "record_id", "chunk_text", words=3, threshold=0.6, least_words=20)
 
 
 def p8_containers(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -6,9 +6,11 @@ import numpy as np
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from ledgerloom.llm import names as N
 from ledgerloom.llm import neardup as D
+from ledgerloom.llm import queries as Q
 from ledgerloom.llm import similar as V
 
 
@@ -144,3 +146,15 @@ def test_search_and_empty_tables(spark):
     assert V.nearest(members, graph, 5).count() == 0
     members, _, graph, _ = V.build(vectors(spark, x[:1]), "id", "v", dims=16)
     assert V.nearest(members, graph, 5).count() == 0
+
+
+def test_every_pair_and_link_of_large_classes(spark, tmp_path):
+    base = " ".join(f"w{i}" for i in range(40))
+    texts = [base] * 103 + [base + " x"] * 99 + [" ".join(f"v{i}" for i in range(40))] + [" ".join(f"u{i}" for i in range(30))] * 2
+    df = spark.createDataFrame([(f"{i:03}", t) for i, t in enumerate(texts)], "record_id string, chunk_text string")
+    df.withColumn("loaded_at", F.current_timestamp()).write.parquet(str(tmp_path / "chunks.parquet"))
+    got = [tuple(r) for r in Q.p7_found(spark, str(tmp_path)).collect()]
+    want = {*itertools.combinations([f"{i:03}" for i in range(202)], 2), ("203", "204")}
+    assert len(got) == len(want) and set(got) == want
+    groups = {tuple(r) for r in Q.p7_groups(spark, str(tmp_path)).select("record_id", "group_id", "n_links").collect()}
+    assert groups == {(f"{i:03}", "000", 201) for i in range(202)} | {("203", "203", 1), ("204", "203", 1)}
