@@ -229,17 +229,33 @@ def agg_table_overview(spark, sf_dir):
     return t.select(F.try_variant_get("t", "$.table_type", "string").alias("table_type"), F.try_variant_get("t", "$.summary_source", "string").alias("source")).groupBy("table_type", "source").agg(F.count("*").alias("n"))
 
 
-def standardize(found: DataFrame, money: DataFrame, tables: DataFrame, resolved: DataFrame, documents: DataFrame) -> DataFrame:
-    """The 25 columns of the standardised record, one row per section with a text; lists as JSON with keys in order.
+def identified(found: DataFrame, documents: DataFrame) -> DataFrame:
+    """The sections with a text, with source_path, record_id and repeat_no.
+
+    The record_id is that of path and heading; where a heading repeats, the
+    second section's ends in -2, the third's in -3: no section is left out.
+    """
+    s = found.where("section_text <> ''").join(documents.select("document_id", "source_path"), "document_id")
+    s = s.withColumn("record_id", C.short_md5("source_path", "heading"))
+    s = s.withColumn("repeat_no", F.row_number().over(Window.partitionBy("record_id").orderBy("document_id", "section_no")))
+    return s.withColumn("record_id", F.when(F.col("repeat_no") > 1, F.concat_ws("-", "record_id", "repeat_no")).otherwise(F.col("record_id")))
+
+
+@query()
+def data_constraints_sections(spark, sf_dir):
+    """How far the pipeline's sections have headings of their own: repeated record_ids of path and heading, and the sections that needed a suffix."""
+    texts = filing_texts(spark, sf_dir)
+    s = identified(sections.parse_sections(texts), texts)
+    return s.agg(F.count_if(F.col("repeat_no") == 2).alias("repeated_ids"), F.count_if(F.col("repeat_no") > 1).alias("suffixed"), F.count("*").alias("sections"))
+
+
+def standardize(s: DataFrame, money: DataFrame, tables: DataFrame, resolved: DataFrame) -> DataFrame:
+    """The 25 columns of the standardised record, one row per identified section; lists as JSON with keys in order.
 
     Children are aggregated by record before they are joined, so a record's
     lists are as long as its own content. Lists without entries are '[]'.
     """
     name = C.file_name(F.col("source_path"))
-    s = found.where("section_text <> ''").join(documents.select("document_id", "source_path"), "document_id")
-    s = s.withColumn("record_id", C.short_md5("source_path", "heading"))
-    once = Window.partitionBy("record_id").orderBy("section_no")
-    s = s.withColumn("__n", F.row_number().over(once)).where("__n = 1").drop("__n")
     order = Window.partitionBy("document_id").orderBy("section_no")
     one = lambda c, *cols: F.sort_array(F.collect_list(F.struct(*cols))).alias(c)
     m = money.groupBy("record_id").agg(one("entities", F.col("start").alias("start_char"), F.col("end").alias("end_char"), F.col("match").alias("text"), "currency", "amount"))
@@ -264,17 +280,13 @@ def standardize(found: DataFrame, money: DataFrame, tables: DataFrame, resolved:
 
 def pipeline(documents: DataFrame) -> DataFrame:
     """Documents (document_id, source_path, raw_text) to standardised records, end to end."""
-    found = cut(sections.parse_sections(documents), "sections")
-    keyed = found.where("section_text <> ''").join(documents.select("document_id", "source_path"), "document_id").select(
-        "document_id", C.short_md5("source_path", "heading").alias("record_id"), "section_no", F.col("section_text").alias("chunk_text")
-    )
-    once = Window.partitionBy("record_id").orderBy("section_no")
-    keyed = cut(keyed.withColumn("n", F.row_number().over(once)).where("n = 1").drop("n"), "keyed")
+    found = cut(identified(cut(sections.parse_sections(documents), "sections"), documents), "identified")
+    keyed = found.select("document_id", "record_id", "section_no", F.col("section_text").alias("chunk_text"))
     money = keyed.select("record_id", F.inline(C.money_mentions(F.col("chunk_text"))))
     tables = text_tables.detect_tables(keyed)
     people = companies(keyed)
     resolved = resolve.attach(people, resolve.resolve(people)[1])
-    return standardize(found, money, tables, resolved, documents)
+    return standardize(found, money, tables, resolved)
 
 
 #: The offline default for company mentions: capitalised words that end in a legal form.

@@ -45,3 +45,12 @@ def test_streamed_sections_keep_every_filing(spark):
     assert {r[0] for r in got} == {r.document_id for r in opened.collect()}
     want = sections.parse_sections(opened).select("document_id", "section_no", "heading", "section_category")
     assert got == sorted(map(tuple, want.collect()), key=str)
+
+
+def test_sections_of_one_heading_are_all_kept(spark):
+    from ledgerloom.plans.documents import pipeline
+
+    text = "ITEM 1. BUSINESS\nWe paid $5 million.\nITEM 1. BUSINESS\nWe paid $7 million to Acme Corp. today."
+    rows = pipeline(spark.createDataFrame([("d", "/x/a.txt", text)], "document_id string, source_path string, raw_text string")).orderBy("chunk_index").collect()
+    assert [r.chunk_text for r in rows] == ["We paid $5 million.", "We paid $7 million to Acme Corp. today."]
+    assert rows[1].record_id == rows[0].record_id + "-2" and "$5 million" in rows[0].entities_json and "$7 million" in rows[1].entities_json
