@@ -249,7 +249,7 @@ def data_constraints_sections(spark, sf_dir):
     return s.agg(F.count_if(F.col("repeat_no") == 2).alias("repeated_ids"), F.count_if(F.col("repeat_no") > 1).alias("suffixed"), F.count("*").alias("sections"))
 
 
-def standardize(s: DataFrame, money: DataFrame, tables: DataFrame, resolved: DataFrame) -> DataFrame:
+def standardize(s: DataFrame, entities: DataFrame, tables: DataFrame, resolved: DataFrame) -> DataFrame:
     """The 25 columns of the standardised record, one row per identified section; lists as JSON with keys in order.
 
     Children are aggregated by record before they are joined, so a record's
@@ -258,7 +258,7 @@ def standardize(s: DataFrame, money: DataFrame, tables: DataFrame, resolved: Dat
     name = C.file_name(F.col("source_path"))
     order = Window.partitionBy("document_id").orderBy("section_no")
     one = lambda c, *cols: F.sort_array(F.collect_list(F.struct(*cols))).alias(c)
-    m = money.groupBy("record_id").agg(one("entities", F.col("start").alias("start_char"), F.col("end").alias("end_char"), F.col("match").alias("text"), "currency", "amount"))
+    m = entities.groupBy("record_id").agg(one("entities", F.col("start").alias("start_char"), F.col("end").alias("end_char"), "entity_type", F.col("name").alias("text"), "currency", "amount"))
     t = tables.groupBy("record_id").agg(one("tables", "table_no", "table_type", "units", "summary", "columns_json", "rows_json"))
     r = resolved.groupBy("record_id").agg(one("resolved", "canonical_name", "entity_type", "matched_text", "resolution_method", "resolution_score"))
     j = s.join(m, "record_id", "left").join(t, "record_id", "left").join(r, "record_id", "left")
@@ -278,26 +278,57 @@ def standardize(s: DataFrame, money: DataFrame, tables: DataFrame, resolved: Dat
     return out.withColumn("retrieval_text", F.concat_ws("\n\n", *(F.concat(F.lit(f"{k}: "), none(c)) for k, c in labels), F.concat(F.lit("Text: "), F.substring("chunk_text", 1, 4000))))
 
 
-def pipeline(documents: DataFrame) -> DataFrame:
-    """Documents (document_id, source_path, raw_text) to standardised records, end to end."""
+def pipeline(documents: DataFrame, extract: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
+    """Documents (document_id, source_path, raw_text) to standardised records, end to end.
+
+    `extract` takes records (document_id, record_id, section_no, chunk_text) to
+    mentions as `names` does, which is the default.
+    """
     found = cut(identified(cut(sections.parse_sections(documents), "sections"), documents), "identified")
     keyed = found.select("document_id", "record_id", "section_no", F.col("section_text").alias("chunk_text"))
     money = keyed.select("record_id", F.inline(C.money_mentions(F.col("chunk_text"))))
     tables = text_tables.detect_tables(keyed)
-    people = companies(keyed)
-    resolved = resolve.attach(people, resolve.resolve(people)[1])
-    return standardize(found, money, tables, resolved)
+    named = cut((extract or names)(keyed), "named")
+    resolved = resolve.attach(named, resolve.resolve(named)[1])
+    amounts = money.select("record_id", "start", "end", F.lit("monetary_value").alias("entity_type"), F.col("match").alias("name"), "currency", "amount")
+    entities = amounts.unionByName(named.select("record_id", "start", "end", "entity_type", "name"), allowMissingColumns=True)
+    return standardize(found, entities, tables, resolved)
 
 
 #: The offline default for company mentions: capitalised words that end in a legal form.
 COMPANY = r"(?:[A-Z][\w&.'-]*,? (?:(?:and|of|&) )?){1,6}(?:Inc|Incorporated|Corp|Corporation|LLC|L\.L\.C|Ltd|Limited|PLC|Co|Company)\b\.?"
 
 
+#: The offline default for person mentions: two or three capitalised words, initials between them, beside words that announce a person.
+PERSON = r"\p{Lu}[\p{L}'’-]+\.?(?: \p{Lu}\.)*(?: \p{Lu}[\p{L}'’-]+){1,2}"
+_BEFORE_PERSON = r"(?:\b(?:Mr|Mrs|Ms|Dr|Prof)\.? |(?i:\b(?:director|officer|president|chairman|chair|treasurer|secretary|counsel|founder|manager)),? |\b(?:granted to|agreement with|led by|succeeded by) )$"
+_BEHIND_PERSON = r"^,? (?:joined|resigned|retired|serves|served|has served|reviewed|was (?:appointed|elected|named)|became|age \d)"
+
+
+def _mentions_of(found: DataFrame, kind: str) -> DataFrame:
+    position = (F.col("section_no") * 10_000_000 + F.col("start")).alias("position")
+    return found.select("document_id", "record_id", F.lit(kind).alias("entity_type"), F.col("match").alias("name"), position, "start", "end")
+
+
 def companies(records: DataFrame) -> DataFrame:
-    """(document_id, record_id, entity_type, name, position): company mentions by the offline pattern, boilerplate left out."""
+    """(document_id, record_id, entity_type, name, position, start, end): company mentions by the offline pattern, boilerplate left out."""
     found = records.select("document_id", "record_id", "section_no", F.inline(C.all_matches(F.col("chunk_text"), COMPANY)))
-    kept = found.where(C.keep_org(F.col("match")))
-    return kept.select("document_id", "record_id", F.lit("company").alias("entity_type"), F.col("match").alias("name"), (F.col("section_no") * 10_000_000 + F.col("start")).alias("position"))
+    return _mentions_of(found.where(C.keep_org(F.col("match"))), "company")
+
+
+def people(records: DataFrame) -> DataFrame:
+    """The same of person mentions by the offline pattern, those that the filters keep and that are no company's name."""
+    found = records.select("document_id", "record_id", "section_no", "chunk_text", F.inline(C.all_matches(F.col("chunk_text"), PERSON)))
+    before = F.expr("substring(chunk_text, greatest(start - 29, 1), least(start, 30))")
+    behind = F.expr("substring(chunk_text, end + 1, 30)")
+    announced = before.rlike(_BEFORE_PERSON) | behind.rlike(_BEHIND_PERSON) | F.col("match").rlike(r"^(?:Mr|Mrs|Ms|Dr|Prof)\b")
+    company = F.concat("match", behind).rlike(f"^{COMPANY}")
+    return _mentions_of(found.where(announced & ~company & C.keep_person(F.col("match"), F.col("chunk_text"), F.col("start"))), "person")
+
+
+def names(records: DataFrame) -> DataFrame:
+    """Company and person mentions by the offline patterns."""
+    return companies(records).union(people(records))
 
 
 @query()

@@ -54,3 +54,15 @@ def test_sections_of_one_heading_are_all_kept(spark):
     rows = pipeline(spark.createDataFrame([("d", "/x/a.txt", text)], "document_id string, source_path string, raw_text string")).orderBy("chunk_index").collect()
     assert [r.chunk_text for r in rows] == ["We paid $5 million.", "We paid $7 million to Acme Corp. today."]
     assert rows[1].record_id == rows[0].record_id + "-2" and "$5 million" in rows[0].entities_json and "$7 million" in rows[1].entities_json
+
+
+def test_entities_hold_names_and_money(spark):
+    from ledgerloom.plans.documents import pipeline
+
+    text = "ITEM 1. BUSINESS\nOur director, Margaret R. Mavnott, met Bolt Marine Corp. and Dr. Anna Roe."
+    df = spark.createDataFrame([("d", "/x/a.txt", text)], "document_id string, source_path string, raw_text string")
+    row = pipeline(df).first()
+    assert row.entity_names == "Margaret R. Mavnott, Bolt Marine Corp., Dr. Anna Roe" and row.has_entities
+    assert set(row.resolved_entity_names.split(", ")) == {"Margaret R. Mavnott", "Bolt Marine Corp.", "Dr. Anna Roe"}
+    given = pipeline(df, lambda r: r.selectExpr("document_id", "record_id", "'person' AS entity_type", "'Zoe Poe' AS name", "0 AS position", "0 AS start", "7 AS end")).first()
+    assert given.entity_names == "Zoe Poe" == given.resolved_entity_names
