@@ -9,6 +9,11 @@ and side = 10 that is 0.977 at s = 0.60, 0.998 at 0.70 and above 0.9999 at 0.80.
 Texts with the same set of shingles are one class and go through the tables
 once, so copies of one text never meet in a bucket. Pairs of classes that meet
 are checked on their whole shingle sets.
+
+A bucket of many classes is cut into blocks of about BLOCK of them, and every
+pair of blocks is a group of its own: no pair is lost, and no task gets more
+than two blocks of a bucket at once. Only buckets of a half key that many
+classes share can be that large, so sizes are counted of those alone.
 """
 
 from __future__ import annotations
@@ -24,9 +29,12 @@ from pyspark.sql import functions as F
 
 from ledgerloom.operators.graph import components
 from ledgerloom.session import cut
+from ledgerloom.streams import whole_groups
 
 SIDE = 10
 ROWS = 2
+#: Classes of one bucket that are compared in one go; larger buckets are compared block by block.
+BLOCK = 256
 _WORD = re.compile(r"[^\W_]+")
 _SEED = 20_240_229
 
@@ -57,7 +65,8 @@ def features(texts: list[str], memo: dict, words: int, least_words: int, side: i
             sizes.append(len(found))
             hashes += [memo[w] for w in found]
     if not kept:
-        return np.array([], dtype=int), [], *(np.zeros((0, side), dtype=np.int64),) * 3
+        none = np.zeros((0, side), dtype=np.int64)
+        return np.array([], dtype=int), [], none[:, 0], none, none
     w = np.array(hashes, dtype=np.uint64)
     ends = np.cumsum(sizes)
     last = np.zeros(len(w), dtype=bool)
@@ -105,15 +114,56 @@ def text_classes(records: DataFrame, key: str, text: str, words: int, least_word
     )
 
 
-def similar_classes(classes: DataFrame, threshold: float) -> DataFrame:
+_KEYED = "bucket bigint, class_id bigint, part int"
+
+
+def bucket_rows(one: DataFrame, block: int) -> DataFrame:
+    """(bucket, class_id, part) of every table key; two rows of a bucket are compared unless they have one part of 0 and more."""
+    half = F.transform("half_a", lambda a, i: F.struct(F.xxhash64(i, a).alias("half"), i.alias("i"), a.alias("a")))
+    crowded = one.select(F.inline(half)).groupBy("half").agg(F.count("*").alias("n")).where(F.col("n") > block).select("half")
+    table = F.transform("half_b", lambda b, j: F.xxhash64("i", j, "a", b))
+    if crowded.isEmpty():
+        every = F.flatten(F.transform("half_a", lambda a, i: F.transform("half_b", lambda b, j: F.xxhash64(i, j, a, b))))
+        return one.select(F.explode(every).alias("bucket"), "class_id", F.lit(-1).alias("part"))
+    crowded = cut(crowded, "crowded")
+    halves = one.select("class_id", "half_b", F.inline(half)).join(crowded.withColumn("large", F.lit(True)), "half", "left")
+    keyed = halves.select(F.explode(table).alias("bucket"), "class_id", F.coalesce("large", F.lit(False)).alias("large"))
+    sizes = keyed.where("large").groupBy("bucket").agg(F.count("*").alias("n")).where(F.col("n") > block)
+    # Joined by bucket and salt, since the rows to split are those of the crowded buckets.
+    salts = 16
+    sizes = sizes.select("bucket", F.ceil(F.col("n") / block).cast("int").alias("blocks"), F.explode(F.array(*map(F.lit, range(salts)))).alias("salt"))
+    suspects = keyed.where("large").select("bucket", "class_id", F.pmod(F.xxhash64("class_id"), F.lit(salts)).cast("int").alias("salt"))
+    sized = suspects.join(sizes, ["bucket", "salt"], "left")
+    own = F.pmod(F.xxhash64("class_id", F.lit(1)), F.col("blocks")).cast("int")
+    pairs = F.transform(
+        F.sequence(F.lit(0), F.col("blocks") - 1),
+        lambda j: F.struct(F.xxhash64("bucket", F.least(j, own), F.greatest(j, own)).alias("bucket"), F.when(j == own, -1).otherwise(own).alias("part")),
+    )
+    alone = F.array(F.struct(F.col("bucket"), F.lit(-1).alias("part")))
+    split = sized.select("class_id", F.inline(F.when(F.col("blocks").isNull(), alone).otherwise(pairs)))
+    return keyed.where("NOT large").select("bucket", "class_id", F.lit(-1).alias("part")).unionByName(split)
+
+
+def _meet(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """The pairs of classes of each bucket, of frames sorted by bucket."""
+    for pdf in whole_groups(frames, "bucket"):
+        bucket, classes, part = (pdf[c].to_numpy() for c in ("bucket", "class_id", "part"))
+        out = []
+        at, step = np.arange(len(bucket) - 1), 1
+        while len(at := at[bucket[at] == bucket[at + step]]):
+            fit = (part[at] < 0) | (part[at] != part[at + step])
+            out.append(np.stack([classes[at[fit]], classes[at[fit] + step]]))
+            step += 1
+            at = at[at + step < len(bucket)]
+        if out:
+            a, b = np.concatenate(out, axis=1)
+            yield pd.DataFrame({"class_a": np.minimum(a, b), "class_b": np.maximum(a, b)}).drop_duplicates()
+
+
+def similar_classes(classes: DataFrame, threshold: float, block: int = BLOCK) -> DataFrame:
     """(class_a, class_b, similarity) of the distinct classes that reach the threshold, a < b."""
     one = classes.groupBy("class_id").agg(F.first("half_a").alias("half_a"), F.first("half_b").alias("half_b"))
-    tables = F.flatten(
-        F.transform("half_a", lambda a, i: F.transform(F.col("half_b"), lambda b, j: F.xxhash64(i, j, a, b)))
-    )
-    keyed = one.select("class_id", F.explode(tables).alias("bucket"))
-    left, right = keyed.withColumnRenamed("class_id", "class_a"), keyed.withColumnRenamed("class_id", "class_b")
-    met = left.join(right, "bucket").where("class_a < class_b").select("class_a", "class_b").distinct()
+    met = bucket_rows(one, block).repartition("bucket").sortWithinPartitions("bucket").mapInPandas(_meet, "class_a bigint, class_b bigint").distinct()
     sets = classes.groupBy("class_id").agg(F.first("shingles").alias("shingles"))
     of_a = sets.select(F.col("class_id").alias("class_a"), F.col("shingles").alias("set_a"))
     of_b = sets.select(F.col("class_id").alias("class_b"), F.col("shingles").alias("set_b"))
@@ -126,10 +176,6 @@ def similar_classes(classes: DataFrame, threshold: float) -> DataFrame:
     )
 
 
-#: With stars, copies beyond this many pairs of records are linked through their class's first record.
-EXPAND = 10_000
-
-
 def linked_classes(records: DataFrame, key: str, text: str, words: int, threshold: float, least_words: int) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(members, heads, close): key and class_id; class_id, head (the first record) and n of each class; pairs of classes that reach the threshold."""
     classes = cut(text_classes(records, key, text, words, least_words), "classes")
@@ -138,37 +184,30 @@ def linked_classes(records: DataFrame, key: str, text: str, words: int, threshol
     return members, heads, cut(similar_classes(classes, threshold).select("class_a", "class_b"), "close")
 
 
-def similar_pairs(records: DataFrame, key: str, text: str, words: int = 5, threshold: float = 0.8, least_words: int = 5, stars: bool = True) -> DataFrame:
-    """(key_a, key_b), a < b, of the records whose texts reach the threshold.
+def similar_pairs(records: DataFrame, key: str, text: str, words: int = 5, threshold: float = 0.8, least_words: int = 5) -> DataFrame:
+    """(key_a, key_b), a < b, of all records whose texts reach the threshold.
 
     Null texts and texts of fewer than `least_words` words take no part.
-    Records of one class are copies: each pair of them is a result. With
-    `stars`, a class or a pair of classes with more than EXPAND pairs of records
-    is given as a star instead: every record with the first record of the other
-    side, so that the result grows with the records and groups stay connected.
-    Without, every pair is given.
+    Records of one class are copies: each pair of them is a result, too. Where
+    copies are many, `similar_groups` and `representative_pairs` say the same
+    in as many rows as there are records and pairs of classes.
     """
     members, heads, close = linked_classes(records, key, text, words, threshold, least_words)
     copies = heads.where("n > 1").select(F.col("class_id").alias("class_a"), F.col("class_id").alias("class_b"))
-    links = close.union(copies)
     of_a = members.select(F.col("class_id").alias("class_a"), F.col(key).alias("member_a"))
     of_b = members.select(F.col("class_id").alias("class_b"), F.col(key).alias("member_b"))
-    ordered = [F.least("member_a", "member_b").alias(f"{key}_a"), F.greatest("member_a", "member_b").alias(f"{key}_b")]
-    if not stars:
-        # A class meets itself in both orders, two classes in one; so no pair comes twice.
-        every = links.join(of_a, "class_a").join(of_b, "class_b").where("class_a <> class_b OR member_a < member_b")
-        return every.select(*ordered)
-    sized = links.join(heads.select(F.col("class_id").alias("class_a"), F.col("head").alias("head_a"), F.col("n").alias("n_a")), "class_a").join(
-        heads.select(F.col("class_id").alias("class_b"), F.col("head").alias("head_b"), F.col("n").alias("n_b")), "class_b"
-    )
-    n_pairs = F.when(F.col("class_a") == F.col("class_b"), F.col("n_a") * (F.col("n_a") - 1) / 2).otherwise(F.col("n_a") * F.col("n_b"))
-    whole = sized.withColumn("whole", n_pairs <= EXPAND)
-    expanded = whole.where("whole").join(of_a, "class_a").join(of_b, "class_b").select("member_a", "member_b")
-    star = whole.where("NOT whole")
-    to_head_b = star.join(of_a, "class_a").select("member_a", F.col("head_b").alias("member_b"))
-    to_head_a = star.where("class_a <> class_b").join(of_b, "class_b").where("member_b <> head_b").select(F.col("head_a").alias("member_a"), "member_b")
-    pairs = expanded.union(to_head_b).union(to_head_a).where("member_a <> member_b")
-    return pairs.select(*ordered).distinct()
+    # A class meets itself in both orders, two classes in one; so no pair comes twice.
+    every = close.union(copies).join(of_a, "class_a").join(of_b, "class_b").where("class_a <> class_b OR member_a < member_b")
+    return every.select(F.least("member_a", "member_b").alias(f"{key}_a"), F.greatest("member_a", "member_b").alias(f"{key}_b"))
+
+
+def representative_pairs(records: DataFrame, key: str, text: str, words: int = 5, threshold: float = 0.8, least_words: int = 5) -> tuple[DataFrame, DataFrame]:
+    """(pairs, membership): key_a, key_b of the first records of every two linked classes; key, head of every record that takes part."""
+    members, heads, close = linked_classes(records, key, text, words, threshold, least_words)
+    of = lambda side: heads.select(F.col("class_id").alias(f"class_{side}"), F.col("head").alias(f"head_{side}"))
+    linked = close.join(of("a"), "class_a").join(of("b"), "class_b")
+    pairs = linked.select(F.least("head_a", "head_b").alias(f"{key}_a"), F.greatest("head_a", "head_b").alias(f"{key}_b"))
+    return pairs, members.join(heads.select("class_id", "head"), "class_id").select(key, "head")
 
 
 def similar_groups(records: DataFrame, key: str, text: str, words: int = 5, threshold: float = 0.8, least_words: int = 5) -> DataFrame:

@@ -106,7 +106,7 @@ def p6_entities(spark: SparkSession, sf_dir: str) -> DataFrame:
 def p7_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pairs of records whose texts share at least 0.60 of their three-word shingles."""
     chunks = latest_records(read_table(spark, sf_dir, "chunks"), "chunk_text")
-    return neardup.similar_pairs(chunks, "record_id", "chunk_text", words=3, threshold=0.6, least_words=20, stars=False)
+    return neardup.similar_pairs(chunks, "record_id", "chunk_text", words=3, threshold=0.6, least_words=20)
 
 
 def p7_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -115,6 +115,18 @@ def p7_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.similar_groups(chunks, "record_id", "chunk_text", words=3, threshold=0.6, least_words=20)
 
 
+def p7_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pairs of different near-duplicate texts, by the first record of each."""
+    chunks = latest_records(read_table(spark, sf_dir, "chunks"), "chunk_text")
+    return neardup.representative_pairs(chunks, "record_id", "chunk_text", words=3, threshold=0.6, least_words=20)[0]
+
+
+def p7_members(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first record with the same shingles, of every record that takes part."""
+    chunks = latest_records(read_table(spark, sf_dir, "chunks"), "chunk_text")
+    return neardup.representative_pairs(chunks, "record_id", "chunk_text", words=3, threshold=0.6, least_words=20)[1]
+
+
 def p8_containers(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every text's place in the containers of every capacity."""
     documents = read_table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -155,7 +167,7 @@ def p10_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
     return languages.detect(read_table(spark, sf_dir, "documents"))
 
 
-QUERIES = {q.__name__: q for q in (p3_found, p3_search, p4_found, p4_forms, p5_found, p5_pieces, p6_found, p6_entities, p7_found, p7_groups, p8_containers, p8_fill, p9_selection, p9_shares, p10_found, p10_segments)}
+QUERIES = {q.__name__: q for q in (p3_found, p3_search, p4_found, p4_forms, p5_found, p5_pieces, p6_found, p6_entities, p7_found, p7_groups, p7_pairs, p7_members, p8_containers, p8_fill, p9_selection, p9_shares, p10_found, p10_segments)}
 _TEXTS = "(SELECT record_id, max(chunk_text) AS t FROM chunks WHERE record_id IS NOT NULL GROUP BY 1)"
 _WORDS = f"(SELECT record_id, regexp_extract_all(lower(t), '[\\p{{L}}\\p{{N}}]+') AS w FROM {_TEXTS})"
 _SHINGLES = f"(SELECT DISTINCT record_id, unnest(list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2])) AS s FROM {_WORDS} WHERE len(w) >= 20)"

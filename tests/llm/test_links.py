@@ -91,20 +91,29 @@ def test_near_duplicates_against_brute_force(spark):
     assert D.similar_pairs(df.limit(0), "record_id", "chunk_text").count() == 0
 
 
-def test_large_groups_of_copies_stay_linear(spark, monkeypatch):
-    monkeypatch.setattr(D, "EXPAND", 20)
+def test_crowded_buckets_in_blocks_give_the_same_pairs(spark):
+    rng = random.Random(1)
+    base = [f"w{i}" for i in range(60)]
+    texts = []
+    for _ in range(120):
+        other = list(base)
+        for _ in range(rng.randint(0, 4)):
+            other[rng.randrange(60)] = f"x{rng.randint(0, 9)}"
+        texts.append(" ".join(other))
+    df = spark.createDataFrame([(f"{i:03}", t) for i, t in enumerate(texts)], "record_id string, chunk_text string")
+    classes = D.text_classes(df, "record_id", "chunk_text", 3, 20)
+    whole = {(r.class_a, r.class_b) for r in D.similar_classes(classes, 0.6).collect()}
+    blocks = [(r.class_a, r.class_b) for r in D.similar_classes(classes, 0.6, block=7).collect()]
+    assert len(whole) > 1_000 and set(blocks) == whole and len(blocks) == len(whole)
+
+
+def test_pairs_of_representatives_and_their_members(spark):
     base = " ".join(f"w{i}" for i in range(40))
-    df = spark.createDataFrame([(f"{i:03}", base) for i in range(30)] + [(f"{i:03}", base + " x") for i in range(30, 60)], "record_id string, chunk_text string")
-    got = [tuple(r) for r in D.similar_pairs(df, "record_id", "chunk_text", words=3, threshold=0.6).collect()]
-    assert len(got) < 200 and all(a < b for a, b in got)
-    seen, todo = {"000"}, ["000"]
-    while todo:
-        x = todo.pop()
-        for a, b in got:
-            if x in (a, b) and not {a, b} <= seen:
-                todo += list({a, b} - seen)
-                seen |= {a, b}
-    assert len(seen) == 60
+    texts = [base] * 5 + [base.upper() + " x"] * 3 + ["short", None, ""]
+    df = spark.createDataFrame([(f"{i:03}", t) for i, t in enumerate(texts)], "record_id string, chunk_text string")
+    pairs, members = D.representative_pairs(df, "record_id", "chunk_text")
+    assert [tuple(r) for r in pairs.collect()] == [("000", "005")]
+    assert {(r.record_id, r.head) for r in members.collect()} == {(f"{i:03}", "000" if i < 5 else "005") for i in range(8)}
 
 
 def vectors(spark, x, extra=()):
@@ -150,11 +159,11 @@ def test_search_and_empty_tables(spark):
 
 def test_every_pair_and_link_of_large_classes(spark, tmp_path):
     base = " ".join(f"w{i}" for i in range(40))
-    texts = [base] * 103 + [base + " x"] * 99 + [" ".join(f"v{i}" for i in range(40))] + [" ".join(f"u{i}" for i in range(30))] * 2
-    df = spark.createDataFrame([(f"{i:03}", t) for i, t in enumerate(texts)], "record_id string, chunk_text string")
+    texts = [base] * 1003 + [base + " x"] * 99 + [" ".join(f"v{i}" for i in range(40))] + [" ".join(f"u{i}" for i in range(30))] * 2
+    df = spark.createDataFrame([(f"{i:04}", t) for i, t in enumerate(texts)], "record_id string, chunk_text string")
     df.withColumn("loaded_at", F.current_timestamp()).write.parquet(str(tmp_path / "chunks.parquet"))
     got = [tuple(r) for r in Q.p7_found(spark, str(tmp_path)).collect()]
-    want = {*itertools.combinations([f"{i:03}" for i in range(202)], 2), ("203", "204")}
+    want = {*itertools.combinations([f"{i:04}" for i in range(1102)], 2), ("1103", "1104")}
     assert len(got) == len(want) and set(got) == want
     groups = {tuple(r) for r in Q.p7_groups(spark, str(tmp_path)).select("record_id", "group_id", "n_links").collect()}
-    assert groups == {(f"{i:03}", "000", 201) for i in range(202)} | {("203", "203", 1), ("204", "203", 1)}
+    assert groups == {(f"{i:04}", "0000", 1101) for i in range(1102)} | {("1103", "1103", 1), ("1104", "1103", 1)}
