@@ -104,7 +104,8 @@ def text_classes(records: DataFrame, key: str, text: str, words: int, least_word
         memo = _WordHash()
         for pdf in frames:
             kept, sets, classes, a, b = features(pdf[text].tolist(), memo, words, least_words)
-            yield pd.DataFrame({key: pdf[key].to_numpy()[kept], "class_id": classes, "shingles": sets, "half_a": list(a), "half_b": list(b)}, columns=names)
+            if len(kept):
+                yield pd.DataFrame({key: pdf[key].to_numpy()[kept], "class_id": classes, "shingles": sets, "half_a": list(a), "half_b": list(b)}, columns=names)
 
     kind = dict(records.dtypes)[key]
     return (
