@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -44,3 +47,60 @@ def components(edges: DataFrame, a: str, b: str, most_rounds: int = 40) -> DataF
 def _state(links: DataFrame) -> tuple:
     """Row count and an order-free hash of the links."""
     return tuple(links.agg(F.count("*"), F.sum(F.xxhash64("hi", "lo").cast("decimal(38,0)"))).first())
+
+
+#: Edges that the components of one scope are found in memory for; scopes of more go through star steps.
+IN_MEMORY = 200_000
+
+
+def components_within(edges: DataFrame, scope: list[str], a: str, b: str, most: int = IN_MEMORY) -> DataFrame:
+    """(scope columns, node, component) of edges that never leave their scope, such as a document.
+
+    `edges` should be a table that is cheap to read twice. Scopes of at most
+    `most` edges are solved each in one call, many to an Arrow batch, after one
+    shuffle; larger ones by `components`, with the same result. Rows with a null
+    scope or end are left out; nodes are strings, compared by their bytes.
+    """
+    links = edges.select(*scope, F.col(a).alias("__a"), F.col(b).alias("__b")).dropna()
+    large = links.groupBy(*scope).agg(F.count("*").alias("__n")).where(F.col("__n") > most).select(*scope)
+    kinds = dict(links.dtypes)
+    schema = ", ".join(f"`{c}` {kinds[c]}" for c in scope) + ", node string, component string"
+
+    def solve(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in frames:
+            out = []
+            for *key, left, right in pdf.itertuples(index=False, name=None):
+                out += [(*key, n, c) for n, c in _least_of_each(left, right).items()]
+            yield pd.DataFrame(out, columns=[*scope, "node", "component"])
+
+    def together(rows: DataFrame) -> DataFrame:
+        ends = rows.groupBy(*scope).agg(F.collect_list(F.struct("__a", "__b")).alias("e"))
+        return ends.select(*scope, F.transform("e", lambda e: e["__a"]).alias("left"), F.transform("e", lambda e: e["__b"]).alias("right")).mapInPandas(solve, schema)
+
+    if large.isEmpty():
+        return together(links)
+    large = cut(large, "large")
+    node = lambda c: F.to_json(F.array(*(F.col(s).cast("string") for s in scope), F.col(c)))
+    of_large = links.join(large, scope, "left_semi").select(*scope, "__a", "__b", node("__a").alias("na"), node("__b").alias("nb"))
+    found = components(of_large, "na", "nb")
+    names = of_large.select(*scope, F.col("__a").alias("node"), F.col("na").alias("id")).union(of_large.select(*scope, "__b", "nb")).distinct()
+    grouped = names.join(found.select(F.col("node").alias("id"), F.col("component").alias("of")), "id")
+    # The least node by its own bytes, whatever the order of the ids that the steps ran on.
+    least = grouped.groupBy("of").agg(F.min("node").alias("component"))
+    return together(links.join(large, scope, "left_anti")).unionByName(grouped.join(least, "of").select(*scope, "node", "component"))
+
+
+def _least_of_each(left: list[str], right: list[str]) -> dict[str, str]:
+    """Node to the least node of its component."""
+    parent: dict[str, str] = {}
+
+    def root(x: str) -> str:
+        while parent.setdefault(x, x) != x:
+            parent[x] = parent[parent[x]]
+            x = parent[x]
+        return x
+
+    for x, y in zip(left, right):
+        lo, hi = sorted((root(x), root(y)))
+        parent[hi] = lo
+    return {x: root(x) for x in list(parent)}

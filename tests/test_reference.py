@@ -117,6 +117,13 @@ def test_components(spark):
     assert graph.components(spark.createDataFrame([], "a long, b long"), "a", "b").count() == 0
 
 
+@pytest.mark.parametrize("most", [100, 3])
+def test_components_within_a_scope(spark, most):
+    edges = [("d", "a", "b"), ("d", "b", "c"), ("e", "b", "c"), ("d", "x", "y"), ("d", "y", "z"), ("d", "z", "z"), (None, "a", "b"), ("d", None, "b"), ("f", "q", "q")]
+    got = {(r.s, r.node, r.component) for r in graph.components_within(spark.createDataFrame(edges, "s string, a string, b string"), ["s"], "a", "b", most).collect()}
+    assert got == {("d", "a", "a"), ("d", "b", "a"), ("d", "c", "a"), ("e", "b", "b"), ("e", "c", "b"), ("d", "x", "x"), ("d", "y", "x"), ("d", "z", "x"), ("f", "q", "q")}
+
+
 def test_cache_calls_each_content_once(spark):
     empty = spark.createDataFrame([], enrich.CACHE)
     records = spark.createDataFrame([("a", "x"), ("b", "x"), ("c", "bad"), ("d", None)], "id string, p string")
