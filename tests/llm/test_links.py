@@ -25,7 +25,9 @@ from ledgerloom.llm import similar as V
         ("company", "The Ulvwisk General Logistics Incorporated", "Ulvwisk Gen. Logistics, Inc.", True), ("company", "Grilorp Precision Prods.", "Grilorp Precision Products LLC", True),
         ("company", "Q.N.I.", "Quilwisk Northern Industries Ltd.", True), ("company", "KPRM", "Kesnax Pacific Rim Materials & Coatings", True), ("company", "Turgotha", "Turgotha Precision Materials", True),
         ("company", "Caljell LLC", "Caljell General Products Inc.", False), ("company", "Prakvist Energy Holdings", "Prakvist Energy Holdings Leasing", False), ("company", "Vervann Marine Services", "Vervann Marine Systems", False),
-        ("company", "Acme", "", False),
+        ("company", "Acme", "", False), ("person", "Jane Roe", "Roe Jane", True), ("person", "Jane Roe", "Roe Janet", False), ("person", "Ann Roe", "Ann Rob", False),
+        ("company", "Alpha Beta Gamma Delta Epsilon Zeta Eta Theta Inc.", "Alpha Theta Eta Zeta Epsilon Delta Gamma Beta Inc.", True),
+        ("company", "Marine Bolt Services", "Bolt Marine Services", True), ("company", "Bolt Marine Services", "Bolt Inland Services", False), ("company", "ABCDEFGHIJ", "A.B.C.D.E.F.G.H.I.J.", True),
     ],
 )
 def test_spellings(kind, a, b, want):
@@ -49,6 +51,22 @@ def test_one_edit_and_its_index(a, b):
         assert set(N.deletions(a)) & set(N.deletions(b))
 
 
+def test_the_assignment_is_the_best_of_all():
+    rng = random.Random(6)
+    words = ["alpha", "alpah", "a", "beta", "bet.", "gamma", "gama", "intl", "international", "x", "delta", "robert", "bob"]
+    for _ in range(200):
+        a, b = (tuple(rng.choice(words) for _ in range(rng.randint(0, 5))) for _ in range(2))
+        short, long = sorted((a, b), key=len)
+        best = min(sum(map(N.token_cost, short, p)) for p in itertools.permutations(long, len(short)))
+        assert N.assignment(a, b) == pytest.approx(best)
+
+
+@pytest.mark.parametrize(("kind", "a", "b"), [("person", "Jane Roe", "Roe Jane"), ("person", "Bob Roe", "Robert Roeh"), ("person", "Peggy Roe", "Margaret Roe"), ("person", "J. Roe", "Jane Roe"), ("person", "Roe", "Jane Roe"), ("company", "Gen. Svcs of Mornax", "Mornax General Services Inc."), ("company", "Mornax Energy", "Mornax Enrgy LLC"), ("company", "Mornax", "Mornax Energy")])
+def test_spellings_that_fit_share_a_key(kind, a, b):
+    (sought_a, full_a), (sought_b, full_b) = N.keys(kind, a), N.keys(kind, b)
+    assert set(sought_a) & set(full_b) or set(sought_b) & set(full_a)
+
+
 def test_linked_spellings(spark):
     rows = [("d", "company", n) for n in ["Acme Precision Products LLC", "Acme Precision Prods.", "ACME PRECISION PRODUCTS LLC", "Acme", "A.P.P.", "APP", "Acme Precision Products Finance", "Bolt Marine", "Bolt Inland", "Bolt", None, " "]]
     rows += [("d", "person", n) for n in ["Charles Roe", "Chuck Roe", "C. Roe", "Mary Roe", "M. Roe"]] + [("e", "person", "Charles Roe"), ("d", "person", "Charles Roe"), (None, "person", "X Y"), ("d", "person", "Catherine Doe"), ("d", "person", "Cynthia Doe"), ("d", "person", "C. Doe")]
