@@ -10,15 +10,19 @@ and nothing is shuffled.
 
 Boundaries are the starts of sentences and lines. Where two lie farther apart
 than a piece can bridge, the starts of words between them are used as well, and
-where even those are missing, plain character positions.
+where even those are missing, the starts of grapheme clusters. Only a cluster
+that alone is longer than a piece can bridge is cut within.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import sys
+import unicodedata
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
+import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -29,19 +33,34 @@ _BLANKS = np.array([ord(c) for c in " \t\n\r     　"], dtype=np.uint32
 _ENDS = np.array([ord(c) for c in ".!?…"], dtype=np.uint32)
 _WIDE_ENDS = np.array([ord(c) for c in "。！？"], dtype=np.uint32)
 _CLOSERS = np.array([ord(c) for c in "\"')]}”’»"], dtype=np.uint32)
-_MARKS = np.array([0x200D, 0xFE0F, *range(0x300, 0x370)], dtype=np.uint32)
+_WIDE_CLOSERS = np.array([ord(c) for c in "」』）】〉》”’"], dtype=np.uint32)
+#: What never starts a cluster behind another character: marks, joiners, skin tones.
+_MARKS = np.array([c for c in range(sys.maxunicode + 1) if unicodedata.category(chr(c))[0] == "M" or 0x1F3FB <= c <= 0x1F3FF] + [0x200C, 0x200D], dtype=np.uint32)
+_CLUSTER = regex.compile(r"\X")
 
 
 def _codes(text: str) -> np.ndarray:
     return np.frombuffer(text.encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
 
 
-def boundaries(codes: np.ndarray, limit: int = LIMIT, overlap: int = OVERLAP) -> tuple[np.ndarray, np.ndarray]:
+def cluster_starts(text: str) -> np.ndarray:
+    """Where a grapheme cluster starts; a consonant behind a virama belongs to the cluster before."""
+    starts = np.array([m.start() for m in _CLUSTER.finditer(text)], dtype=np.int64)
+    joined = [i > 0 and unicodedata.combining(text[i - 1]) == 9 for i in starts.tolist()]
+    return starts[~np.array(joined, dtype=bool)]
+
+
+def boundaries(text: str, limit: int = LIMIT, overlap: int = OVERLAP) -> tuple[np.ndarray, np.ndarray]:
     """(where a piece may end, where a piece may start) of one text, both ascending, with 0 and its length."""
+    codes = _codes(text)
     n = len(codes)
     blank = np.isin(codes, _BLANKS)
-    word_start = np.flatnonzero(~blank[1:] & blank[:-1]) + 1
+    starts_cluster = ~np.isin(codes, _MARKS)
+    word_start = np.flatnonzero(~blank[1:] & blank[:-1] & starts_cluster[1:]) + 1
     wide = np.flatnonzero(np.isin(codes[:-1], _WIDE_ENDS)) + 1 if n else np.array([], dtype=np.int64)
+    while len(closed := np.flatnonzero(np.isin(codes[np.minimum(wide, n - 1)], _WIDE_CLOSERS) & (wide < n))) if n else 0:
+        wide[closed] += 1
+    wide = wide[starts_cluster[np.minimum(wide, n - 1)] | (wide == n)] if n else wide
     # The last sign before the blanks that precede a word: a sentence's end, perhaps behind a closing quote.
     solid = np.maximum.accumulate(np.where(blank, -1, np.arange(n))) if n else np.array([], dtype=np.int64)
     last = solid[word_start - 1] if len(word_start) else word_start
@@ -56,39 +75,29 @@ def boundaries(codes: np.ndarray, limit: int = LIMIT, overlap: int = OVERLAP) ->
     natural = word_start[np.isin(sign, _ENDS) & ~lower | np.isin(sign, _WIDE_ENDS) | lines]
     natural = np.unique(np.concatenate([[0], natural, wide, [n]]))
     starts = np.unique(np.concatenate([natural, word_start]))
-    return _fill(_fill(natural, starts, limit - overlap), np.arange(n + 1), limit - overlap, codes), starts
+    reach = limit - overlap
+    bridged = _fill(natural, lambda a, b: starts[np.searchsorted(starts, a, "right") : np.searchsorted(starts, b, "left")], reach)
+    bridged = _fill(bridged, lambda a, b: cluster_starts(text[a:b]) + a, reach)
+    return _fill(bridged, lambda a, b: np.arange(a + 1, b), reach), starts
 
 
-def _fill(have: np.ndarray, finer: np.ndarray, reach: int, codes: np.ndarray | None = None) -> np.ndarray:
-    """`have` with the positions of `finer` wherever two of it lie more than `reach` apart."""
+def _fill(have: np.ndarray, finer: Callable[[int, int], np.ndarray], reach: int) -> np.ndarray:
+    """`have` with the finer positions wherever two of it lie more than `reach` apart."""
     gaps = np.flatnonzero(np.diff(have) > reach)
-    if not len(gaps):
-        return have
-    parts = [have]
-    for g in gaps:
-        inside = finer[np.searchsorted(finer, have[g], "right") : np.searchsorted(finer, have[g + 1], "left")]
-        if codes is not None:
-            # A cut never parts a letter from its marks.
-            inside = inside[~np.isin(codes[inside], _MARKS)]
-        parts.append(inside)
-    out = np.unique(np.concatenate(parts))
-    if codes is not None and len(out) > 1 and np.diff(out).max() > reach:
-        out = np.unique(np.concatenate([out, np.arange(out[0], out[-1], reach)]))
-    return out
+    return np.unique(np.concatenate([have, *(finer(have[g], have[g + 1]) for g in gaps)])) if len(gaps) else have
 
 
 def split_batch(texts: list[str], limit: int = LIMIT, overlap: int = OVERLAP) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(text no, start, end) of all pieces of all texts, in order."""
     ends, begins, owner_of_end, base, bases = [], [], [], 0, []
     for i, text in enumerate(texts):
-        codes = _codes(text)
-        e, s = boundaries(codes, limit, overlap)
+        e, s = boundaries(text, limit, overlap)
         ends.append(e + base)
         begins.append(s + base)
         owner_of_end.append(np.full(len(e), i))
         bases.append(base)
         # Texts lie so far apart on the common line that no piece reaches into the next.
-        base += len(codes) + limit + overlap + 1
+        base += len(text) + limit + overlap + 1
     b, s, owner = np.concatenate(ends), np.concatenate(begins), np.concatenate(owner_of_end)
     bases = np.array(bases)
     final = np.array([e[-1] for e in ends])[owner]
@@ -124,7 +133,7 @@ def split_oversized(records: DataFrame, key: str, fields: list[str], limit: int
     Characters are code points. Null, empty and short texts give no rows.
     Pieces are numbered from 0, cover the text without gaps and each repeats at
     most `overlap` characters of the one before. A text without any boundary is
-    cut at plain characters, not between a letter and its marks.
+    cut between grapheme clusters. Columns beside `key` and `fields` are ignored.
     """
     long = records.select(
         key, F.inline(F.array(*(F.struct(F.lit(f).alias("field_name"), F.col(f).alias("text")) for f in fields)))

@@ -72,7 +72,7 @@ def test_forms_in_spark(spark):
 
 
 def greedy(text, limit, overlap):
-    ends, starts = (x.tolist() for x in S.boundaries(S._codes(text), limit, overlap))
+    ends, starts = (x.tolist() for x in S.boundaries(text, limit, overlap))
     out, at = [], 0
     while at < len(text):
         start = 0 if at == 0 else min([x for x in starts if x >= at - overlap] + [at])
@@ -95,6 +95,22 @@ def test_doubling_finds_the_greedy_cuts():
             assert all(0 <= got[k][1] - got[k + 1][0] <= overlap for k in range(len(got) - 1))
 
 
+@pytest.mark.parametrize("unit", ["👍🏽", "🇩🇪", "क्ष", "か\u3099", "e\u0301\u0323", "👨\u200d👩\u200d👧", "각", "é"])
+def test_forced_cuts_keep_clusters(unit):
+    text = unit * 60
+    _, start, end = S.split_batch([text], 50, 10)
+    assert start[0] == 0 and end[-1] == len(text) and len(start) > 1
+    # The farthest cluster that fits, no multiple of anything.
+    assert all(e % len(unit) == 0 for e in end) and end[0] == 50 // len(unit) * len(unit)
+    assert all(b - a <= 50 for a, b in zip(start, end))
+
+
+def test_no_piece_starts_with_a_mark_or_a_closing_sign():
+    text = "一二三。」" * 30 + "a \u0301b " * 30
+    _, start, end = S.split_batch([text], 50, 10)
+    assert not any(text[e : e + 1] in {"」", "\u0301"} for e in end) and not any(text[a] in {"」", "\u0301"} for a in start)
+
+
 def test_cuts_are_natural(spark):
     text = "One sentence here. Another one, e.g. this, follows. " * 60
     df = spark.createDataFrame([("a", text, None), ("b", "x" * 2000, ""), ("c", "y" * 2001, "z" * 9000)], "record_id string, chunk_text string, retrieval_text string")
