@@ -10,23 +10,24 @@ from ledgerloom.operators import nested
 from ledgerloom.sources import latest_records, read_table
 
 
-#: Links below this similarity aren't joined over when only pairs of at least 0.90 are wanted.
-P3_FLOOR = 0.80
-
-
 def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pairs of vectors with cosine 0.90 or more of which one is among the other's 5 nearest."""
-    members, _, graph, _ = similar.build(read_table(spark, sf_dir, "index_vectors"), "faiss_id", "embedding", floor=P3_FLOOR)
-    near = similar.nearest(members, graph, 5).where(F.col("similarity") >= 0.9)
-    return near.select(F.least("id", "neighbour").alias("faiss_id_a"), F.greatest("id", "neighbour").alias("faiss_id_b")).distinct()
+    near = p3_neighbours(spark, sf_dir).where(F.col("similarity") >= 0.9)
+    return near.select(F.least("faiss_id", "neighbour").alias("faiss_id_a"), F.greatest("faiss_id", "neighbour").alias("faiss_id_b")).distinct()
+
+
+def p3_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 5 nearest vectors of every vector, however far."""
+    members, _, graph, _ = similar.build(read_table(spark, sf_dir, "index_vectors"), "faiss_id", "embedding")
+    return similar.nearest(members, graph, 5).select(F.col("id").alias("faiss_id"), "neighbour", "similarity")
 
 
 def p3_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The 5 nearest vectors of every vector whose id is divisible by 100, by greedy graph search."""
-    members, nodes, graph, forest = similar.build(read_table(spark, sf_dir, "index_vectors"), "faiss_id", "embedding", keep=12, rounds=1)
+    members, nodes, graph, placed = similar.build(read_table(spark, sf_dir, "index_vectors"), "faiss_id", "embedding")
     asked = members.where("id % 100 = 0").select("id", "node")
     queries = asked.select("node").distinct().join(nodes.withColumnRenamed("id", "node"), "node").select(F.col("node").alias("query"), "unit")
-    found = similar.search(nodes, graph, queries, 6, forest)
+    found = similar.search(nodes, graph, queries, 6, placed)
     rows = members.where("rank <= 6").select("node", F.col("id").alias("neighbour"))
     near = found.join(rows, "node").join(asked.select(F.col("node").alias("query"), F.col("id").alias("faiss_id")), "query").where("neighbour <> faiss_id")
     order = similar.Window.partitionBy("faiss_id").orderBy(F.round("similarity", 9).desc(), "neighbour")
@@ -167,7 +168,7 @@ def p10_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
     return languages.detect(read_table(spark, sf_dir, "documents"))
 
 
-QUERIES = {q.__name__: q for q in (p3_found, p3_search, p4_found, p4_forms, p5_found, p5_pieces, p6_found, p6_entities, p7_found, p7_groups, p7_pairs, p7_members, p8_containers, p8_fill, p9_selection, p9_shares, p10_found, p10_segments)}
+QUERIES = {q.__name__: q for q in (p3_found, p3_neighbours, p3_search, p4_found, p4_forms, p5_found, p5_pieces, p6_found, p6_entities, p7_found, p7_groups, p7_pairs, p7_members, p8_containers, p8_fill, p9_selection, p9_shares, p10_found, p10_segments)}
 _TEXTS = "(SELECT record_id, max(chunk_text) AS t FROM chunks WHERE record_id IS NOT NULL GROUP BY 1)"
 _WORDS = f"(SELECT record_id, regexp_extract_all(lower(t), '[\\p{{L}}\\p{{N}}]+') AS w FROM {_TEXTS})"
 _SHINGLES = f"(SELECT DISTINCT record_id, unnest(list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2])) AS s FROM {_WORDS} WHERE len(w) >= 20)"

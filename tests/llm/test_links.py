@@ -158,13 +158,25 @@ def test_neighbours_against_brute_force(spark):
     assert all(v == pytest.approx(s[i, j], abs=1e-5) for i in list(got)[:50] for j, v in got[i].items())
 
 
+def test_large_leaves_are_split_on_the_executors(spark):
+    rng = np.random.default_rng(8)
+    x = rng.standard_normal((900, 8)).astype(np.float32)
+    nodes = spark.createDataFrame([(i, bytearray(r.tobytes())) for i, r in enumerate(x)], "id long, unit binary")
+    placed = V.grow(nodes, 900, 8, trees=2, leaf=10, most=30, root_depth=2)
+    sizes = [r.n for r in placed.groupBy("leaf").agg(F.count("*").alias("n")).collect()]
+    assert max(sizes) <= 30 and sum(sizes) == 1_800 and placed.select("id").distinct().count() == 900
+    # Nodes that no projection parts stay together, and the rounds end.
+    same = spark.createDataFrame([(i, bytearray(x[0].tobytes())) for i in range(50)], "id long, unit binary")
+    assert V.grow(same, 50, 8, trees=1, leaf=10, most=30, root_depth=2).count() == 50
+
+
 def test_search_and_empty_tables(spark):
     rng = np.random.default_rng(5)
     x = np.concatenate([c + 0.2 * rng.standard_normal((15, 16)) for c in rng.standard_normal((40, 16))])
-    members, nodes, graph, forest = V.build(vectors(spark, x), "id", "v", dims=16, leaf=64)
+    members, nodes, graph, placed = V.build(vectors(spark, x), "id", "v", dims=16, leaf=64)
     asked = nodes.where("id % 20 = 0").selectExpr("id AS query", "unit")
     found = {}
-    for r in V.search(nodes, graph, asked, 6, forest).collect():
+    for r in V.search(nodes, graph, asked, 6, placed).collect():
         found.setdefault(r.query, set()).add(r.node)
     u = x / np.linalg.norm(x, axis=1, keepdims=True)
     best = {q: set(np.argsort(-(u @ u[q]))[:6]) for q in found}
