@@ -10,21 +10,26 @@ from ledgerloom.operators import nested
 from ledgerloom.sources import latest_records, read_table
 
 
+#: Neighbours kept where the whole lists count: far neighbours, among many about as far, need longer lists than near ones.
+P3_WIDE = 28
+
+
 def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pairs of vectors with cosine 0.90 or more of which one is among the other's 5 nearest."""
-    near = p3_neighbours(spark, sf_dir).where(F.col("similarity") >= 0.9)
-    return near.select(F.least("faiss_id", "neighbour").alias("faiss_id_a"), F.greatest("faiss_id", "neighbour").alias("faiss_id_b")).distinct()
+    members, _, graph, _ = similar.build(read_table(spark, sf_dir, "index_vectors"), "faiss_id", "embedding")
+    near = similar.nearest(members, graph, 5).where(F.col("similarity") >= 0.9)
+    return near.select(F.least("id", "neighbour").alias("faiss_id_a"), F.greatest("id", "neighbour").alias("faiss_id_b")).distinct()
 
 
 def p3_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The 5 nearest vectors of every vector, however far."""
-    members, _, graph, _ = similar.build(read_table(spark, sf_dir, "index_vectors"), "faiss_id", "embedding")
+    members, _, graph, _ = similar.build(read_table(spark, sf_dir, "index_vectors"), "faiss_id", "embedding", keep=P3_WIDE)
     return similar.nearest(members, graph, 5).select(F.col("id").alias("faiss_id"), "neighbour", "similarity")
 
 
 def p3_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The 5 nearest vectors of every vector whose id is divisible by 100, by greedy graph search."""
-    members, nodes, graph, placed = similar.build(read_table(spark, sf_dir, "index_vectors"), "faiss_id", "embedding")
+    members, nodes, graph, placed = similar.build(read_table(spark, sf_dir, "index_vectors"), "faiss_id", "embedding", keep=P3_WIDE)
     asked = members.where("id % 100 = 0").select("id", "node")
     queries = asked.select("node").distinct().join(nodes.withColumnRenamed("id", "node"), "node").select(F.col("node").alias("query"), "unit")
     found = similar.search(nodes, graph, queries, 6, placed)

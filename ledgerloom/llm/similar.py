@@ -31,13 +31,13 @@ from ledgerloom.streams import whole_groups
 SAMPLE, LEAF_SAMPLE = 20_000, 2_000
 TREES = 4
 #: Nodes of a leaf: what the trees aim at, and beyond which a leaf is split again.
-LEAF, MOST = 256, 1_024
+LEAF, MOST = 512, 2_048
 #: Levels of one tree; so many bits of a leaf's number each tree takes.
 ROOT_DEPTH = 10
 #: Neighbours that a node keeps while the graph is built.
 KEEP = 10
-#: The graph has settled when a round changes the lists of at most one node in so many.
-SETTLED = 1_000
+#: The graph has settled when a round changes the lists of at most one node in so many, about a thousandth of all list entries.
+SETTLED = 100
 _DIGITS = 9
 
 
@@ -326,7 +326,7 @@ def leaf_starts(placed: DataFrame, queries: DataFrame, most: int) -> DataFrame:
     return found.groupBy(F.col("u").alias("query"), F.col("v").alias("node")).agg(F.max("similarity").alias("similarity"))
 
 
-def search(nodes: DataFrame, graph: DataFrame, queries: DataFrame, k: int, placed: DataFrame, beam: int = 64, width: int = 32) -> DataFrame:
+def search(nodes: DataFrame, graph: DataFrame, queries: DataFrame, k: int, placed: DataFrame, beam: int = 96, width: int = 32) -> DataFrame:
     """(query, node, similarity): the k nearest nodes of each query by greedy search along the graph.
 
     `queries` has query, a node, and its unit. A search starts from the best
