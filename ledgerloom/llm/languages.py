@@ -83,34 +83,33 @@ def sentences(text: str) -> list[str]:
     return [s for s in out if s.strip()]
 
 
-def _vector(word: str) -> np.ndarray:
-    """Counts of the hashed n-grams (1 to 3 characters) of a word and its borders."""
-    v = np.zeros(DIMENSIONS, dtype=np.float32)
+def _grams(word: str) -> list[int]:
+    """The hashed n-grams (1 to 3 characters) of a word and its borders."""
     marked = f"_{word}_"
-    for n in (1, 2, 3):
-        for i in range(len(marked) - n + 1):
-            v[zlib.crc32(marked[i : i + n].encode("utf-8", "surrogatepass")) % DIMENSIONS] += 1
-    return v
+    return [zlib.crc32(marked[i : i + n].encode("utf-8", "surrogatepass")) % DIMENSIONS for n in (1, 2, 3) for i in range(len(marked) - n + 1)]
 
 
 class _Words:
-    """Row number of each word's vector; emptied when it gets large."""
+    """The n-grams of each word seen, one word behind the other; emptied when they get many."""
 
-    def __init__(self, most: int = 20_000):
-        self.most, self.rows, self.matrix = most, {}, np.zeros((1_024, DIMENSIONS), dtype=np.float32)
+    def __init__(self, most: int = 200_000):
+        self.most, self.rows = most, {}
+        self.grams, self.ends = np.zeros(65_536, dtype=np.int32), [0]
 
     def ids(self, words: list[str]) -> list[int]:
         rows = self.rows
         for w in set(words).difference(rows):
-            if len(rows) == len(self.matrix):
-                self.matrix = np.concatenate([self.matrix, np.zeros_like(self.matrix)])
+            own, at = _grams(w), self.ends[-1]
+            while at + len(own) > len(self.grams):
+                self.grams = np.concatenate([self.grams, np.zeros_like(self.grams)])
+            self.grams[at : at + len(own)] = own
+            self.ends.append(at + len(own))
             rows[w] = len(rows)
-            self.matrix[rows[w]] = _vector(w)
         return [rows[w] for w in words]
 
     def trim(self) -> None:
         if len(self.rows) > self.most:
-            self.rows, self.matrix = {}, np.zeros((1_024, DIMENSIONS), dtype=np.float32)
+            self.rows, self.ends = {}, [0]
 
 
 def _counts(words: _Words, parts: list[list[str]]) -> np.ndarray:
@@ -118,14 +117,16 @@ def _counts(words: _Words, parts: list[list[str]]) -> np.ndarray:
     sizes = np.array([len(p) for p in parts])
     out = np.zeros((len(parts), DIMENSIONS), dtype=np.float32)
     filled = np.flatnonzero(sizes)
-    # In blocks, so that the rows gathered at a time stay few.
+    # In blocks, so that the n-grams gathered at a time stay few.
     for block in np.array_split(filled, max(1, int(sizes.sum()) // 20_000)):
         if len(block):
-            # Counts of words by sentence, times the words' vectors: one product instead of a sum a sentence.
-            ids, at = np.unique([i for k in block for i in words.ids(parts[k])], return_inverse=True)
-            row = np.repeat(np.arange(len(block)), sizes[block])
-            often = np.bincount(row * len(ids) + at, minlength=len(block) * len(ids)).reshape(len(block), len(ids))
-            out[block] = often.astype(np.float32) @ words.matrix[ids]
+            ids = np.array([i for k in block for i in words.ids(parts[k])])
+            ends = np.array(words.ends)
+            starts, n = ends[ids], ends[ids + 1] - ends[ids]
+            # Where each word's n-grams lie, run by run, and the sentence that each belongs to.
+            at = np.arange(n.sum()) + np.repeat(starts - np.concatenate([[0], np.cumsum(n)[:-1]]), n)
+            owner = np.repeat(np.repeat(np.arange(len(block)), sizes[block]), n)
+            out[block] = np.bincount(owner * DIMENSIONS + words.grams[at], minlength=len(block) * DIMENSIONS).reshape(len(block), DIMENSIONS)
     return out
 
 
@@ -217,12 +218,18 @@ def segments_of(scores: np.ndarray, sizes: np.ndarray, lengths: np.ndarray, leas
 
 
 def training_sample(documents: DataFrame, key: str, text: str, label: str, most: int = SAMPLE_DOCS) -> DataFrame:
-    """(text, lang) of at most `most` documents of each known label, the first by a hash of the key."""
-    first = Window.partitionBy("lang").orderBy(F.xxhash64(key), F.col(key))
-    labelled = documents.where(F.length(text) > 0).select(key, text, label_code(F.col(label)).alias("lang"))
+    """(text, lang) of at most `most` different texts of each known label, the first by a hash of the text.
+
+    Copies count once, so a text that fills a third of the table weighs no more
+    than any other.
+    """
+    labelled = documents.where((F.length(text) > 0) & F.col(key).isNotNull()).select(key, F.xxhash64(text).alias("digest"), label_code(F.col(label)).alias("lang"))
     labelled = labelled.where(F.col("lang").isNotNull() & (F.col("lang") != "?"))
-    chosen = labelled.select(key, "lang").withColumn("n", F.row_number().over(first)).where(F.col("n") <= most)
-    return labelled.join(F.broadcast(chosen.select(key)), key, "left_semi").select(F.col(text).alias("text"), "lang")
+    once = labelled.groupBy("lang", "digest").agg(F.min(key).alias(key))
+    first = Window.partitionBy("lang").orderBy("digest", key)
+    chosen = once.withColumn("n", F.row_number().over(first)).where(F.col("n") <= most).select(key, "lang")
+    # At most `most` rows a language.
+    return documents.select(key, text).join(F.broadcast(chosen), key).select(F.col(text).alias("text"), "lang")
 
 
 def segment_languages(documents: DataFrame, key: str, text: str, label: str, model: Model) -> DataFrame:
