@@ -183,6 +183,9 @@ def fit(texts: list[str], labels: list[str], rounds: int = 3) -> Model:
         similar = x @ c.T
         keep = owner[np.argmax(similar, axis=1)] == y
     own = np.where(keep, similar.max(axis=1), np.nan)
+    # A label whose every sentence is nearer to another language has no centroid, so it is no language here.
+    have = np.unique(owner)
+    languages, owner = [languages[i] for i in have], np.searchsorted(have, owner)
     return Model(languages, c.astype(np.float32), owner, weights, float(np.nanquantile(own, 0.001)) * 0.8)
 
 

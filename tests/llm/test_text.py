@@ -150,3 +150,14 @@ def test_labels(spark):
 def test_sentences():
     assert L.sentences("Er zahlte 5 Mio. EUR an Acme (X S.p.A.). Dann ging er.\nEnde") == ["Er zahlte 5 Mio. EUR an Acme (X S.p.A.). ", "Dann ging er.\n", "Ende"]
     assert L.sentences("一。二。") == ["一。", "二。"] and L.sentences("") == []
+
+
+def test_a_label_that_no_sentence_bears_out_is_dropped():
+    model = L.fit([DE * 3, FR * 3, EN * 3, EN * 2], ["de", "fr", "en", "sv"])
+    assert set(model.languages) >= {"de", "fr"} and len(model.centroids) == len(model.owner) and set(model.owner) == set(range(len(model.languages)))
+
+
+def test_copies_count_once_in_the_sample(spark):
+    rows = [(i, EN, "en") for i in range(50)] + [(100 + i, f"{DE} {i}", "de") for i in range(5)] + [(200, None, "de"), (None, FR, "fr")]
+    got = L.training_sample(spark.createDataFrame(rows, "doc_id long, text string, lang string"), "doc_id", "text", "lang", most=3).collect()
+    assert sorted(r.lang for r in got) == ["de", "de", "de", "en"]
