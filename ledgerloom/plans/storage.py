@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -13,7 +12,7 @@ from ledgerloom.functions import columns as C
 from ledgerloom.operators import enrich, retrieval
 from ledgerloom.plans.base import SQL_CHUNKS, SQL_FILINGS, chunks, filings
 from ledgerloom.plans.relational import context
-from ledgerloom.session import cut, shared_dir
+from ledgerloom.session import cut, scratch
 from ledgerloom.sources import documents, read_table
 from ledgerloom.streaming import files
 
@@ -31,8 +30,7 @@ def query(sql: str | None = None):
     return add
 
 
-def _folder(spark: SparkSession, name: str) -> str:
-    return f"{shared_dir(spark)}/ledgerloom/{name}-{uuid.uuid4().hex}"
+_folder = scratch
 
 
 @query(f"SELECT record_id, heading, chunk_index, chunk_text FROM {SQL_CHUNKS}")
