@@ -7,6 +7,8 @@ from __future__ import annotations
 
 from functools import reduce
 
+import pyarrow as pa
+import regex
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -83,9 +85,14 @@ def title_category(heading: Column) -> Column:
     return F.coalesce(*(F.when(text.rlike(p), F.lit(c)) for p, c in R.HEADING_RULES), F.lit("other"))
 
 
+def first_number(heading: Column) -> Column:
+    """The first number of a heading with its letter, upper case; '' without one."""
+    return F.upper(F.regexp_extract(heading, r"(\d+[A-Za-z]?)", 1))
+
+
 def categorize_heading(heading: Column) -> Column:
-    """By item number, else by title; 'other' for null."""
-    return F.coalesce(item_category(heading_item(heading)), title_category(heading))
+    """By its first number, whatever stands before, else by title; 'other' for null."""
+    return F.coalesce(item_category(first_number(heading)), title_category(heading))
 
 
 def is_toc_entry(heading: Column) -> Column:
@@ -153,29 +160,28 @@ def keep_person(name: Column, text: Column, position: Column) -> Column:
     return F.coalesce(shape & placed & ((F.size(words) > 1) | before.isin(*R.ANNOUNCING_TITLES)), F.lit(False))
 
 
-_NUMBER = r"\d[\d,]*(?:\.\d+)?"
-_MAGNITUDE = r"(?:\s*(?:thousand|million|billion|trillion)s?)"
-_SYMBOL = r"(?:\$|€|£|¥|CHF|USD|EUR|GBP|JPY)"
-MONEY = rf"{_SYMBOL}\s*{_NUMBER}{_MAGNITUDE}?|{_NUMBER}{_MAGNITUDE}\s+(?:dollars?|euros?|pounds?)"
-
-
 def all_matches(text: Column, pattern: str) -> Column:
-    """array<struct<start, end, match>> of all matches, with positions from 0.
+    """array<struct<start, end, match>> of all matches, with positions from 0; null for null.
 
-    The pieces between the matches give the positions; the pattern must not
-    match an empty string.
+    One pass over each text in Arrow batches, whose cost is linear in the text:
+    a list built up by expressions is copied with each match. The pattern is of
+    the `regex` module's syntax and must not match an empty string.
     """
-    found = F.regexp_extract_all(text, F.lit(f"({pattern})"), F.lit(1))
-    gaps = F.split(text, pattern, -1)
-    zero = F.struct(F.lit(0).alias("end"), F.array().cast("array<struct<start:int,end:int,match:string>>").alias("out"))
 
-    def step(acc: Column, m: Column) -> Column:
-        start = acc["end"] + F.length(F.get(gaps, F.size(acc["out"])))
-        end = start + F.length(m)
-        one = F.struct(start.cast("int").alias("start"), end.cast("int").alias("end"), m.alias("match"))
-        return F.struct(end.cast("int").alias("end"), F.concat(acc["out"], F.array(one)).alias("out"))
+    @F.arrow_udf("array<struct<start:int,end:int,match:string>>")
+    def find(texts: pa.Array) -> pa.Array:
+        search = regex.compile(pattern).finditer
+        offsets, starts, ends, found = [0], [], [], []
+        for t in texts.to_pylist():
+            for m in search(t) if t else ():
+                starts.append(m.start())
+                ends.append(m.end())
+                found.append(m.group())
+            offsets.append(len(starts))
+        one = pa.StructArray.from_arrays([pa.array(starts, pa.int32()), pa.array(ends, pa.int32()), pa.array(found, pa.string())], ["start", "end", "match"])
+        return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), one)
 
-    return F.aggregate(found, zero, step, lambda acc: acc["out"])
+    return F.when(text.isNotNull(), find(text))
 
 
 def money_mentions(text: Column) -> Column:
@@ -186,10 +192,10 @@ def money_mentions(text: Column) -> Column:
         symbol = reduce(lambda rest, kv: F.when(low.startswith(kv[0]), F.lit(kv[1])).otherwise(rest), reversed(R.MONEY_SYMBOLS.items()), F.lit(None).cast("string"))
         word = reduce(lambda rest, kv: F.when(low.rlike(f"{kv[0]}s?$"), F.lit(kv[1])).otherwise(rest), reversed(R.MONEY_WORDS.items()), F.lit("USD"))
         size = reduce(lambda rest, kv: F.when(low.contains(kv[0]), F.lit(kv[1])).otherwise(rest), reversed(R.MAGNITUDES.items()), F.lit(1.0))
-        number = F.replace(F.regexp_extract(low, f"({_NUMBER})", 1), F.lit(","), F.lit(""))
+        number = F.replace(F.regexp_extract(low, f"({R.MONEY_NUMBER})", 1), F.lit(","), F.lit(""))
         return F.struct(m["start"].alias("start"), m["end"].alias("end"), m["match"].alias("match"), F.coalesce(symbol, word).alias("currency"), (number.try_cast("double") * size).alias("amount"))
 
-    return F.transform(all_matches(text, f"(?iU)(?:{MONEY})"), read)
+    return F.transform(all_matches(text, f"(?i)(?:{R.MONEY})"), read)
 
 
 def page_quality(text: Column) -> Column:

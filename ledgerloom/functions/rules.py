@@ -112,6 +112,10 @@ ANNOUNCING_TITLES = (
 
 # Money.
 MONEY_SYMBOLS = {"$": "USD", "€": "EUR", "£": "GBP", "¥": "JPY", "chf": "CHF", "usd": "USD", "eur": "EUR", "gbp": "GBP", "jpy": "JPY"}
+MONEY_NUMBER = r"\d[\d,]*(?:\.\d+)?"
+MONEY_MAGNITUDE = r"(?:\s*(?:thousand|million|billion|trillion)s?)"
+MONEY_SYMBOL = r"(?:\$|€|£|¥|CHF|USD|EUR|GBP|JPY)"
+MONEY = rf"{MONEY_SYMBOL}\s*{MONEY_NUMBER}{MONEY_MAGNITUDE}?|{MONEY_NUMBER}{MONEY_MAGNITUDE}\s+(?:dollars?|euros?|pounds?)"
 MONEY_WORDS = {"dollar": "USD", "euro": "EUR", "pound": "GBP"}
 MAGNITUDES = {"thousand": 1e3, "million": 1e6, "billion": 1e9, "trillion": 1e12}
 

@@ -57,10 +57,10 @@ def parse_field(field: Column, wrapper: str) -> Column:
     return F.when(value.isNotNull(), F.when(wrapped, items(_get(value, f"$.{wrapper}", "variant"))).otherwise(items(value)))
 
 
-def with_parsed(chunks: DataFrame, *fields: str) -> DataFrame:
-    """record_id, document_id and the parsed entries of each field as array<variant>."""
+def with_parsed(chunks: DataFrame, *fields: str, keep: list[str] | None = None) -> DataFrame:
+    """record_id, document_id, the columns to keep and the parsed entries of each field as array<variant>."""
     return chunks.select(
-        "document_id", "record_id", *(parse_field(F.col(f), WRAPPERS[f]).alias(f) for f in fields)
+        "document_id", "record_id", *(keep or []), *(parse_field(F.col(f), WRAPPERS[f]).alias(f) for f in fields)
     )
 
 

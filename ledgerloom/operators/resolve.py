@@ -1,15 +1,14 @@
 """Name variants of a document merged conservatively, with the evidence of each merge.
 
 Distinct names meet in hash joins on narrow block keys, within a document and
-type. Cheap rules decide in the JVM-side candidate set what is compared; the
-fuzzy scores run in Arrow batches on the candidates only. Groups are connected
-components of the merges.
+type. All rules but the fuzzy ones are column expressions, so pairs that they
+decide, or that are too unequal in length to reach the least score, never leave
+the JVM; fuzzy scores run in Arrow batches on the rest. Groups are the connected
+components of the merges inside a document and type.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -17,66 +16,102 @@ from pyspark.sql import functions as F
 from ledgerloom.functions import columns as C
 from ledgerloom.functions import fuzzy
 from ledgerloom.functions import rules as R
-from ledgerloom.operators.graph import components
+from ledgerloom.operators.graph import components_within
 from ledgerloom.session import cut
 
 LEAST_SCORE, PERSON_SCORE = 90, 93
-_CONTAINED = frozenset(R.CONTAINMENT_TOKENS)
-
-
-def is_acronym(short: str, long: str) -> bool:
-    """Whether 2 to 6 capitals are the initials of the longer name's words that count."""
-    short = short.strip()
-    words = [w for w in long.split() if w not in R.ACRONYM_IGNORED]
-    if not (2 <= len(short) <= 6 and short.isupper() and len(words) >= 2) or words[0].upper() == short:
-        return False
-    known = short == "IPG" and words[:2] == ["interpublic", "group"]
-    return known or short == "".join(w[0] for w in words).upper()
-
-
-def contains_unit(a: str, b: str) -> bool:
-    """Whether one name is the other and a word that makes it another organisation."""
-    x, y = set(a.split()), set(b.split())
-    return any(s and s <= t and (t - s) & _CONTAINED for s, t in ((x, y), (y, x)))
-
-
-def merge_company(a: str, b: str, na: str, nb: str) -> tuple[bool, str, int]:
-    """(merge, method, score) of two company names and their normal forms."""
-    if not na or not nb:
-        return False, "no_match", 0
-    if na == nb:
-        return True, "normalized_exact", 100
-    if contains_unit(na, nb):
-        return False, "no_match", 0
-    if is_acronym(a, nb) or is_acronym(b, na):
-        return True, "acronym", 100
-    if min(len(na), len(nb)) < 5:
-        return False, "no_match", 0
-    s = fuzzy.scores(na, nb)
-    least = min(s[:3])
-    return (True, "strict_fuzzy", int(least)) if least >= LEAST_SCORE else (False, "no_match", int(max(s)))
-
-
-def merge_person(a: str, b: str, na: str, nb: str) -> tuple[bool, str, int]:
-    """(merge, method, score) of two persons' names: both must have two words and more."""
-    if not na or not nb:
-        return False, "no_match", 0
-    if na == nb:
-        return True, "normalized_exact", 100
-    x, y = na.split(), nb.split()
-    if len(x) < 2 or len(y) < 2:
-        return False, "no_match", 0
-    full_x, full_y = [t for t in x if len(t) > 1], [t for t in y if len(t) > 1]
-    if len(full_x) >= 2 and len(full_y) >= 2 and (full_x[0], full_x[-1]) == (full_y[0], full_y[-1]):
-        return True, "person_name", 95
-    if x[-1] == y[-1] and [t[0] for t in x[:-1]] == [t[0] for t in y[:-1]]:
-        return True, "person_initials", 95
-    s = fuzzy.scores(na, nb)
-    return (True, "strict_fuzzy", int(min(s[:2]))) if min(s[:2]) >= PERSON_SCORE else (False, "no_match", int(max(s)))
-
-
-def should_merge(kind: str, a: str, b: str, na: str, nb: str) -> tuple[bool, str, int]:
-    return (merge_company if kind == "company" else merge_person)(a, b, na, nb)
+
+
+def _words(norm: Column) -> Column:
+    return F.filter(F.split(norm, " "), lambda w: w != "")
+
+
+def _letters(words: Column) -> Column:
+    """The first letters of words, as one string."""
+    return F.array_join(F.transform(words, lambda w: F.left(w, F.lit(1))), "")
+
+
+def is_acronym(short: Column, norm: Column) -> Column:
+    """Whether 2 to 6 capitals are the initials of the words that count of a longer name's normal form; null for null."""
+    plain = F.trim(short)
+    words = F.filter(_words(norm), lambda w: ~w.isin(*R.ACRONYM_IGNORED))
+    capitals = F.length(plain).between(2, 6) & (plain == F.upper(plain)) & plain.rlike(r"\p{Lu}")
+    known = (plain == "IPG") & (F.slice(words, 1, 2) == F.array(F.lit("interpublic"), F.lit("group")))
+    return capitals & (F.size(words) >= 2) & (F.upper(F.get(words, F.lit(0))) != plain) & (known | (F.upper(_letters(words)) == plain))
+
+
+def contains_unit(norm_a: Column, norm_b: Column) -> Column:
+    """Whether one normal form is the other and a word that makes it another organisation; null for null."""
+    a, b = _words(norm_a), _words(norm_b)
+    units = F.array(*map(F.lit, R.CONTAINMENT_TOKENS))
+    inside = lambda x, y: (F.size(x) > 0) & (F.size(F.array_except(x, y)) == 0) & F.arrays_overlap(F.array_except(y, x), units)
+    return inside(a, b) | inside(b, a)
+
+
+def _decision(merge: bool, method: str, score: int) -> Column:
+    return F.struct(F.lit(merge).alias("merge"), F.lit(method).alias("method"), F.lit(score).alias("score"))
+
+
+def company_rule(a: Column, b: Column, norm_a: Column, norm_b: Column) -> Column:
+    """struct<merge, method, score> of two company names by the rules that need no score; null where the score decides."""
+    no = _decision(False, "no_match", 0)
+    return (
+        F.when((F.coalesce(norm_a, F.lit("")) == "") | (F.coalesce(norm_b, F.lit("")) == ""), no)
+        .when(norm_a == norm_b, _decision(True, "normalized_exact", 100))
+        .when(contains_unit(norm_a, norm_b), no)
+        .when(is_acronym(a, norm_b) | is_acronym(b, norm_a), _decision(True, "acronym", 100))
+        .when(F.least(F.length(norm_a), F.length(norm_b)) < 5, no)
+    )
+
+
+def person_rule(norm_a: Column, norm_b: Column) -> Column:
+    """struct<merge, method, score> of two persons' normal forms by the rules that need no score; null where the score decides."""
+    no = _decision(False, "no_match", 0)
+    a, b = _words(norm_a), _words(norm_b)
+    whole = lambda t: F.filter(t, lambda w: F.length(w) > 1)
+    first, last = lambda t: F.get(t, F.lit(0)), lambda t: F.try_element_at(t, F.lit(-1))
+    full_a, full_b = whole(a), whole(b)
+    named = (F.size(full_a) >= 2) & (F.size(full_b) >= 2) & (first(full_a) == first(full_b)) & (last(full_a) == last(full_b))
+    given = lambda t: F.slice(t, F.lit(1), F.greatest(F.size(t) - 1, F.lit(0)))
+    initials = (last(a) == last(b)) & (F.size(a) == F.size(b)) & (_letters(given(a)) == _letters(given(b)))
+    return (
+        F.when((F.coalesce(norm_a, F.lit("")) == "") | (F.coalesce(norm_b, F.lit("")) == ""), no)
+        .when(norm_a == norm_b, _decision(True, "normalized_exact", 100))
+        .when((F.size(a) < 2) | (F.size(b) < 2), no)
+        .when(named, _decision(True, "person_name", 95))
+        .when(initials, _decision(True, "person_initials", 95))
+    )
+
+
+def judged(pairs: DataFrame, merges_only: bool = False) -> DataFrame:
+    """Pairs (entity_type, name_a, name_b, norm_a, norm_b, ...) with merge, method and score, by rule or by score.
+
+    With `merges_only`, pairs that aren't merged are left out, most of them
+    before any score is taken: two strings whose lengths differ too much can't
+    reach the least ratio.
+    """
+    company = F.col("entity_type") == "company"
+    rule = F.when(company, company_rule(*map(F.col, ("name_a", "name_b", "norm_a", "norm_b")))).otherwise(person_rule(F.col("norm_a"), F.col("norm_b")))
+    ruled = pairs.withColumn("__rule", rule)
+    least = F.when(company, LEAST_SCORE).otherwise(PERSON_SCORE)
+    if merges_only:
+        shorter = F.least(F.length("norm_a"), F.length("norm_b"))
+        ruled = ruled.where(F.coalesce(F.col("__rule.merge"), 200 * shorter >= least * (F.length("norm_a") + F.length("norm_b"))))
+
+    @F.pandas_udf("ratio double, token_sort double, token_set double, partial double")
+    def scores(a: pd.Series, b: pd.Series) -> pd.DataFrame:
+        got = [fuzzy.scores(x, y) if isinstance(x, str) and isinstance(y, str) else (None,) * 4 for x, y in zip(a, b)]
+        return pd.DataFrame(got, columns=["ratio", "token_sort", "token_set", "partial"], dtype=float)
+
+    open_ = F.col("__rule").isNull()
+    scored = ruled.withColumn("__s", scores(F.when(open_, F.col("norm_a")), F.when(open_, F.col("norm_b"))))
+    worst = F.when(company, F.least("__s.ratio", "__s.token_sort", "__s.token_set")).otherwise(F.least("__s.ratio", "__s.token_sort"))
+    best = F.greatest("__s.ratio", "__s.token_sort", "__s.token_set", "__s.partial")
+    by_score = F.when(worst >= least, F.struct(F.lit(True).alias("merge"), F.lit("strict_fuzzy").alias("method"), worst.cast("int").alias("score"))).otherwise(
+        F.struct(F.lit(False).alias("merge"), F.lit("no_match").alias("method"), best.cast("int").alias("score"))
+    )
+    out = scored.withColumn("__d", F.coalesce("__rule", by_score)).select(*pairs.columns, "__d.merge", "__d.method", "__d.score")
+    return out.where("merge") if merges_only else out
 
 
 def block_keys(norm: Column, name: Column, kind: Column) -> Column:
@@ -106,17 +141,6 @@ def canonical_score(name: Column, count: Column) -> Column:
     return F.struct(formality.alias("a"), count.alias("b"), mixed.alias("c"), whole.alias("d"), F.length(name).alias("e"))
 
 
-_PAIR = "document_id string, entity_type string, name_a string, name_b string, merge boolean, method string, score int"
-
-
-def _judge(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for pdf in frames:
-        got = [should_merge(*r) for r in zip(pdf["entity_type"], pdf["name_a"], pdf["name_b"], pdf["norm_a"], pdf["norm_b"])]
-        out = pdf[["document_id", "entity_type", "name_a", "name_b"]].copy()
-        out["merge"], out["method"], out["score"] = [g[0] for g in got], [g[1] for g in got], [g[2] for g in got]
-        yield out
-
-
 def resolve(mentions: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(groups, evidence) of mentions: document_id, entity_type, name, position.
 
@@ -135,14 +159,14 @@ def resolve(mentions: DataFrame) -> tuple[DataFrame, DataFrame]:
     a = keyed.select(*scope, "key", F.col("name").alias("name_a"), F.col("norm").alias("norm_a"))
     b = keyed.select(*scope, "key", F.col("name").alias("name_b"), F.col("norm").alias("norm_b"))
     met = a.join(b, [*scope, "key"]).where("name_a < name_b AND norm_a <> norm_b").drop("key").distinct()
-    judged = met.mapInPandas(_judge, _PAIR).where("merge")
-    node = lambda c: F.concat_ws("\x1f", *scope, c)
-    edges = judged.select(node("name_a").alias("a"), node("name_b").alias("b")).union(headed.where("head <> name").select(node("head").alias("a"), node("name").alias("b")))
-    grouped = headed.join(components(edges, "a", "b"), node("name") == F.col("node"), "left").withColumn("group_id", F.coalesce("component", node("name")))
-    best = Window.partitionBy("group_id").orderBy(canonical_score(F.col("name"), F.col("n")).desc(), "first_at", "name")
+    merged = judged(met, merges_only=True).select(*scope, F.col("name_a").alias("a"), F.col("name_b").alias("b"))
+    edges = cut(merged.union(headed.where("head <> name").select(*scope, "head", "name")), "merges")
+    groups = components_within(edges, scope, "a", "b").withColumnRenamed("node", "name")
+    grouped = headed.join(groups, [*scope, "name"], "left").withColumn("group_id", F.coalesce("component", "name"))
+    best = Window.partitionBy(*scope, "group_id").orderBy(canonical_score(F.col("name"), F.col("n")).desc(), "first_at", "name")
     placed = cut(grouped.withColumn("canonical_name", F.first("name").over(best)).withColumn("canonical_norm", F.first("norm").over(best)).select(*scope, "name", "norm", "n", "first_at", "group_id", "canonical_name", "canonical_norm"), "groups")
     asked = placed.select(*scope, F.col("name").alias("name_a"), F.col("canonical_name").alias("name_b"), F.col("norm").alias("norm_a"), F.col("canonical_norm").alias("norm_b"))
-    scored = asked.where("name_a <> name_b").mapInPandas(_judge, _PAIR)
+    scored = judged(asked.where("name_a <> name_b"))
     method = F.when(F.col("merge"), F.col("method")).otherwise(F.lit("cluster_link"))
     proof = scored.select(*scope, F.col("name_a").alias("variant"), F.col("name_b").alias("canonical_name"), method.alias("resolution_method"), F.col("score").alias("resolution_score"))
     itself = placed.where("name = canonical_name").select(*scope, F.col("name").alias("variant"), "canonical_name", F.lit("canonical").alias("resolution_method"), F.lit(100).alias("resolution_score"))

@@ -78,7 +78,7 @@ def money_amounts(spark, sf_dir):
 def mentions(spark, sf_dir):
     """(document_id, record_id, entity_type, name, position, start_char) of the stored company and person mentions."""
     c = chunks(spark, sf_dir, "document_id", "chunk_index", "entities_json")
-    parsed = nested.with_parsed(c, "entities_json").join(c.select("record_id", "chunk_index"), "record_id")
+    parsed = nested.with_parsed(c, "entities_json", keep=["chunk_index"])
     one = F.transform(
         "entities_json",
         lambda m, i: F.struct(

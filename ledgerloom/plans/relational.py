@@ -168,7 +168,8 @@ def valid_item_key(spark, sf_dir):
 
 
 def _sql_category() -> str:
-    items = " ".join(f"WHEN {_ITEM_SQL} = '{k}' THEN '{v}'" for k, v in R.ITEM_CATEGORIES.items())
+    number = "upper(regexp_extract(heading, '([0-9]+[A-Za-z]?)', 1))"
+    items = " ".join(f"WHEN {number} = '{k}' THEN '{v}'" for k, v in R.ITEM_CATEGORIES.items())
     rules = " ".join(f"WHEN regexp_matches(lower(heading), '{p}') THEN '{c}'" for p, c in R.HEADING_RULES)
     return f"CASE {items} {rules} ELSE 'other' END"
 

@@ -39,7 +39,7 @@ def test_persons_and_organisations(spark):
 
 
 def test_headings(spark):
-    cases = {"Item 1A. Risk Factors": "risk_factors", "Item 1. Business": "business_overview", "Item 7. MD&A": "management_discussion", "Item 8. Statements": "financial_results", "Item 3. Legal": "legal_proceedings", "Item 10. Directors": "governance", "ITEM 99. X": "other", "Item 4. Mine": "disclosures"}
+    cases = {"Item 1A. Risk Factors": "risk_factors", "Item 1. Business": "business_overview", "Item 7. MD&A": "management_discussion", "Item 8. Statements": "financial_results", "Item 3. Legal": "legal_proceedings", "Item 10. Directors": "governance", "ITEM 99. X": "other", "Item 4. Mine": "disclosures", "Note 1 Business": "business_overview", "Leases": "other"}
     got = spark.createDataFrame([(h,) for h in cases], "x string").select("x", C.categorize_heading(F.col("x")).alias("c")).collect()
     assert {r.x: r.c for r in got} == cases
     assert all(sections.category_of(h) == c for h, c in cases.items())
