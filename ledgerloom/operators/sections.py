@@ -10,14 +10,18 @@ from __future__ import annotations
 
 import re
 from bisect import bisect_right
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from typing import NamedTuple
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
 
 from ledgerloom.functions import rules as R
+from ledgerloom.operators import table_enrich
+from ledgerloom.operators.enrich import enrich
 
+# The patterns of contents headers, items and headings.
 _BLANK = r"[\s\xa0]"
 _HEADER = re.compile(rf"table{_BLANK}+of{_BLANK}+contents", re.I)
 _ITEM = re.compile(rf"\bitem{_BLANK}+(\d+[A-Za-z]?)\b", re.I)
@@ -218,15 +222,47 @@ def parse(text: str | None, provided: list[str] | None = None) -> list[tuple[str
 SECTIONS = "document_id string, section_no bigint, heading string, section_category string, section_text string, parse_method string"
 
 
-def parse_sections(documents: DataFrame) -> DataFrame:
-    """One row per section of document_id, raw_text; null and blank texts give none, repeated documents each their own."""
+def parse_sections(documents: DataFrame, provided: DataFrame | None = None) -> DataFrame:
+    """One row per section of document_id, raw_text; null and blank texts give none, repeated documents each their own.
+
+    `provided` has document_id and items array<string>, the contents lists of a
+    provider (`provide_toc`), used where a text shows none of its own.
+    """
+    rows = documents.select("document_id", "raw_text", F.lit(None).cast("array<string>").alias("items"))
+    if provided is not None:
+        rows = documents.select("document_id", "raw_text").join(provided.select("document_id", "items").dropDuplicates(["document_id"]), "document_id", "left")
 
     def batches(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in frames:
-            rows = [(d, i, *s) for d, t in zip(pdf["document_id"], pdf["raw_text"]) for i, s in enumerate(parse(t))]
-            yield pd.DataFrame(rows, columns=[c.split()[0] for c in SECTIONS.split(", ")])
+            given = (None if i is None else list(i) for i in pdf["items"])
+            out = [(d, i, *s) for d, t, p in zip(pdf["document_id"], pdf["raw_text"], given) for i, s in enumerate(parse(t, p))]
+            yield pd.DataFrame(out, columns=[c.split()[0] for c in SECTIONS.split(", ")])
+
+    return rows.mapInPandas(batches, SECTIONS)
+
+
+#: Characters that a provider is shown: from the contents header, or from the start.
+SNIPPET, SNIPPET_START = 5_000, 8_000
 
-    return documents.select("document_id", "raw_text").mapInPandas(batches, SECTIONS)
+
+def toc_snippet(text: Column) -> Column:
+    """struct<snippet, source>: the stretch of a text that a provider of contents lists is shown."""
+    head = F.regexp_extract(F.substring(text, 1, R.TOC_SEARCH), r"((?i)table[\s\xa0]+of[\s\xa0]+contents)", 1)
+    from_header = F.substr(text, F.instr(text, head), F.lit(SNIPPET))
+    return F.struct(F.when(head != "", from_header).otherwise(F.substring(text, 1, SNIPPET_START)).alias("snippet"), F.when(head != "", "toc_header").otherwise("document_start").alias("source"))
+
+
+def provide_toc(documents: DataFrame, cache: DataFrame, call: Callable[[str], str | None], model: str = "offline", version: str = "1") -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(provided, cache, log): item keys by a provider for the documents whose texts show no contents list.
+
+    `call` gets the snippet and replies with a JSON list of item keys. Replies
+    without valid keys give an empty list; failures are not cached.
+    """
+    lacking = extract_toc(documents).where("method = 'none'").select("document_id")
+    asked = documents.join(lacking, "document_id", "left_semi").select("document_id", toc_snippet(F.col("raw_text"))["snippet"].alias("snippet"))
+    replies, grown = enrich(asked, "document_id", "snippet", cache, call, model, version)
+    provided = replies.select("document_id", table_enrich.reply_keys(F.col("reply")).alias("items"))
+    return provided, grown, table_enrich.log_rows(replies, model)
 
 
 def extract_toc(documents: DataFrame) -> DataFrame:

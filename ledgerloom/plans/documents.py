@@ -69,12 +69,6 @@ def money_extract(spark, sf_dir):
     return money(spark, sf_dir).groupBy("record_id", "match").agg(F.count("*").alias("n"))
 
 
-@query()
-def money_amounts(spark, sf_dir):
-    """Money with offsets, currency and amount; the text at the offsets is the match."""
-    return money(spark, sf_dir).select("record_id", "start", "end", "match", "currency", F.round("amount", 2).alias("amount"))
-
-
 def mentions(spark, sf_dir):
     """(document_id, record_id, entity_type, name, position, start_char) of the stored company and person mentions."""
     c = chunks(spark, sf_dir, "document_id", "chunk_index", "entities_json")
@@ -142,14 +136,6 @@ def keep_person(spark, sf_dir):
     return kept.select("record_id", "name", "start_char")
 
 
-@query()
-def block_keys(spark, sf_dir):
-    """Keys under which each name is compared."""
-    n = mentions(spark, sf_dir).where(F.col("entity_type").isin("company", "person")).select("entity_type", "name").distinct()
-    norm = F.when(F.col("entity_type") == "company", C.normalize_company(F.col("name"))).otherwise(C.normalize_person(F.col("name")))
-    return n.select("entity_type", "name", F.explode(resolve.block_keys(norm, F.col("name"), F.col("entity_type"))).alias("key"))
-
-
 def _resolved(spark, sf_dir):
     return resolve.resolve(mentions(spark, sf_dir))
 

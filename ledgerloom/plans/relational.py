@@ -262,14 +262,6 @@ def pdf_quality(spark, sf_dir):
     return docs.select("doc_id", F.length(t).cast("bigint").alias("n_chars"), F.round(alpha, 6).alias("alpha_ratio"), (F.length(t) < R.PAGE_MIN_CHARS).alias("very_short"))
 
 
-@query()
-def pdf_quality_report(spark, sf_dir):
-    """Score, warnings and fallback flag of every document text."""
-    docs = read_table(spark, sf_dir, "documents")
-    q = docs.select("doc_id", C.page_quality(F.col("text")).alias("q"))
-    return q.select("doc_id", F.col("q.score").alias("score"), F.array_join("q.warnings", ",").alias("warnings"), F.col("q.requires_fallback").alias("requires_fallback"))
-
-
 # ---- joins and set operations ---------------------------------------------------------------------------------------
 
 
