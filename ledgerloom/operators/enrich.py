@@ -5,7 +5,8 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerloom.sinks import merge_cache
@@ -18,6 +19,21 @@ def cache_key(payload: str, model: str, version: str):
     return F.sha2(F.to_json(F.struct(F.lit(model).alias("model"), F.sha2(payload, 256).alias("payload"), F.lit(version).alias("version"))), 256)
 
 
+def read_cache(spark: SparkSession, path: str) -> DataFrame:
+    """The entries of a cache on disk, each key once, the one written last; none where nothing can be read."""
+    kept = "cache_key string, reply string, model string, written_at timestamp"
+    try:
+        rows = spark.read.schema(kept).option("ignoreCorruptFiles", True).parquet(path)
+    except AnalysisException:
+        rows = spark.createDataFrame([], kept)
+    return rows.groupBy("cache_key").agg(F.max_by(F.struct("reply", "model"), "written_at").alias("e")).select("cache_key", "e.reply", "e.model")
+
+
+def append_cache(entries: DataFrame, path: str) -> None:
+    """Entries added to a cache on disk. A run that fails midway leaves the older entries as they are."""
+    entries.withColumn("written_at", F.current_timestamp()).write.mode("append").parquet(path)
+
+
 def enrich(records: DataFrame, key: str, payload: str, cache: DataFrame, call: Callable[[str], str | None], model: str = "offline", version: str = "1", callers: int = 10) -> tuple[DataFrame, DataFrame]:
     """(records with reply and status 'hit', 'miss' or 'failed', the cache with the new replies).
 

@@ -69,10 +69,9 @@ def apply_summaries(tables: DataFrame, cache: DataFrame, call: Callable[[str], s
     empty reply leaves the deterministic summary. Tables without columns aren't
     asked. Null members count as empty.
     """
-    origin = lambda used, source, status: F.struct(used.alias("summary_used_llm"), source.alias("summary_source"), status.alias("summary_cache_status"))
-    plain = origin(F.lit(False), F.lit("deterministic"), F.lit(""))
     if call is None:
-        return tables.select("*", plain["summary_used_llm"], plain["summary_source"], plain["summary_cache_status"]), cache, log_rows(tables.select(F.lit("").alias("status")).limit(0), model)
+        plain = (F.lit(False).alias("summary_used_llm"), F.lit("deterministic").alias("summary_source"), F.lit("").alias("summary_cache_status"))
+        return tables.select("*", *plain), cache, log_rows(tables.select(F.lit("").alias("status")).limit(0), model)
     generic = F.coalesce(generic_columns(F.col("columns")), F.lit(False))
     text = F.to_json(F.struct(generic.alias("infer"), F.coalesce("heading", F.lit("")).alias("heading"), "columns", F.when(generic, F.col("raw_text")).alias("raw_text"), F.when(~generic, F.col("rows")).alias("rows")))
     keyed = tables.withColumn("__key", F.concat_ws("\x1f", "record_id", "table_no"))
@@ -83,9 +82,11 @@ def apply_summaries(tables: DataFrame, cache: DataFrame, call: Callable[[str], s
     j = j.withColumn("__r", read).withColumn("__used", F.coalesce(F.col("__r.summary") != "", F.lit(False)))
     source = F.when(~F.col("__used"), "deterministic").when(F.col("__generic"), "llm_inferred").otherwise("llm")
     new = F.when(F.col("__used"), F.col("__r.columns"))
+    # Renamed before the select below, in which `columns` would mean the new ones.
+    j = j.withColumn("__rows", F.when(new.isNotNull(), remapped_rows(F.col("rows"), F.col("columns"), new)).otherwise(F.col("rows")))
     out = j.select(
         *(c for c in tables.columns if c not in ("columns", "rows", "summary")), F.coalesce(new, F.col("columns")).alias("columns"),
-        F.when(new.isNotNull(), remapped_rows(F.col("rows"), F.col("columns"), new)).otherwise(F.col("rows")).alias("rows"),
+        F.col("__rows").alias("rows"),
         F.when(F.col("__used"), F.col("__r.summary")).otherwise(F.col("summary")).alias("summary"),
         F.col("__used").alias("summary_used_llm"), source.alias("summary_source"), F.when(F.col("__used"), F.col("status")).otherwise("").alias("summary_cache_status"),
     )

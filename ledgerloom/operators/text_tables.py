@@ -22,6 +22,7 @@ _ANCHOR = re.compile(R.UNITS_ANCHOR, re.I)
 _YEAR, _PERIOD = re.compile(R.YEAR), re.compile(R.PERIOD, re.I)
 _CELL, _PIPE, _VALUE = re.compile(R.CELL), re.compile(R.PIPE_ROW), re.compile(R.VALUE_LINE)
 _FOOTNOTE, _SKIP, _STOP = re.compile(R.FOOTNOTE_LINE), re.compile(R.SKIP_LINE, re.I), re.compile(R.STOP_LINE, re.I)
+# Fixed value: what stands before a row's first figure.
 _LABEL = re.compile(r"([^$\d(]+?)(?=\s*[$\d(]|$)")
 _DASHES = str.maketrans({"\xa0": " ", "—": "--", "–": "-", "−": "-"})
 
@@ -36,7 +37,7 @@ class Table(NamedTuple):
     raw_text: str
 
     def summary(self) -> str:
-        """One sentence on rows, units and the first four named columns."""
+        """One sentence on rows, units and the first four named columns; its words are fixed values."""
         count = lambda n, what: f"{n} {what}{'s' if n != 1 else ''}"
         head = f"Table with {count(len(self.rows), 'row')}" + (f" ({self.units})" if self.units else "")
         named = [c for c in self.columns if c != "Item" and not c.startswith("Col")]
@@ -151,20 +152,22 @@ def detect(text: str | None) -> list[Table]:
     return list(once.values())
 
 
-TABLES = "record_id string, table_no bigint, table_type string, units string, columns_json string, rows_json string, n_rows bigint, n_columns bigint, summary string"
+TABLES = "record_id string, table_no bigint, table_type string, units string, columns_json string, rows_json string, n_rows bigint, n_columns bigint, summary string, raw_text string"
 
 
 def detect_tables(records: DataFrame, key: str = "record_id", text: str = "chunk_text") -> DataFrame:
-    """One row per table found in the texts; null texts and texts without one give no row."""
+    """One row per table found in the texts, with columns and rows as arrays; null texts and texts without one give no row."""
 
     def batches(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in frames:
             rows = [
-                (k, i, t.kind, t.units, json.dumps(t.columns, ensure_ascii=False), json.dumps(t.rows, ensure_ascii=False, sort_keys=True), len(t.rows), len(t.columns), t.summary())
+                (k, i, t.kind, t.units, json.dumps(t.columns, ensure_ascii=False), json.dumps(t.rows, ensure_ascii=False, sort_keys=True), len(t.rows), len(t.columns), t.summary(), t.raw_text)
                 for k, x in zip(pdf["k"], pdf["t"])
                 for i, t in enumerate(detect(x))
             ]
             yield pd.DataFrame(rows, columns=[c.split()[0] for c in TABLES.split(", ")])
 
     hopeful = F.col(text).rlike(R.PIPE_ROW) | F.col(text).rlike(f"(?i){R.UNITS_ANCHOR}")
-    return records.where(hopeful).select(F.col(key).alias("k"), F.col(text).alias("t")).mapInPandas(batches, TABLES)
+    found = records.where(hopeful).select(F.col(key).alias("k"), F.col(text).alias("t")).mapInPandas(batches, TABLES)
+    native = found.withColumn("columns", F.from_json("columns_json", "array<string>")).withColumn("rows", F.from_json("rows_json", "array<map<string,string>>"))
+    return native.select("record_id", "table_no", "table_type", "units", "columns", "rows", "n_rows", "n_columns", "summary", "raw_text")

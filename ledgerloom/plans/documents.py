@@ -10,8 +10,9 @@ from pyspark.sql import functions as F
 from ledgerloom.functions import columns as C
 from ledgerloom.functions import fuzzy
 from ledgerloom.functions import rules as R
-from ledgerloom.operators import nested, resolve, sections, text_tables
+from ledgerloom.operators import enrich, nested, resolve, sections, table_enrich, text_tables
 from ledgerloom.plans.base import SQL_CHUNKS, chunks, filing_texts, filings
+from ledgerloom.plans.relational import labelled_text
 from ledgerloom.session import cut
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -182,15 +183,16 @@ def topk_suspicious_merges(spark, sf_dir):
 
 @query()
 def detect_tables(spark, sf_dir):
-    """Tables found in the records' texts."""
-    return text_tables.detect_tables(chunks(spark, sf_dir, "chunk_text"))
+    """Tables found in the records' texts, columns and rows as JSON texts."""
+    t = text_tables.detect_tables(chunks(spark, sf_dir, "chunk_text"))
+    return t.withColumn("columns", F.to_json("columns")).withColumn("rows", F.to_json("rows")).drop("raw_text")
 
 
 @query()
 def agg_table_quality(spark, sf_dir):
     """Rows, columns and named columns of the tables found."""
-    t = detect_tables(spark, sf_dir)
-    named = F.col("columns_json").rlike(r'"(?!Item"|Col\d+")[^"]+"')
+    t = text_tables.detect_tables(chunks(spark, sf_dir, "chunk_text"))
+    named = F.exists("columns", lambda c: (c != "Item") & ~c.startswith("Col"))
     return t.groupBy("table_type").agg(F.count("*").alias("n"), F.round(F.avg("n_rows"), 4).alias("mean_rows"), F.round(F.avg("n_columns"), 4).alias("mean_columns"), F.count_if(named).alias("named"))
 
 
@@ -216,12 +218,12 @@ def agg_table_overview(spark, sf_dir):
 
 
 def identified(found: DataFrame, documents: DataFrame) -> DataFrame:
-    """The sections with a text, with source_path, record_id and repeat_no.
+    """The sections with source_path, record_id and repeat_no.
 
     The record_id is that of path and heading; where a heading repeats, the
     second section's ends in -2, the third's in -3: no section is left out.
     """
-    s = found.where("section_text <> ''").join(documents.select("document_id", "source_path"), "document_id")
+    s = found.join(documents.select("document_id", "source_path"), "document_id")
     s = s.withColumn("record_id", C.short_md5("source_path", "heading"))
     s = s.withColumn("repeat_no", F.row_number().over(Window.partitionBy("record_id").orderBy("document_id", "section_no")))
     return s.withColumn("record_id", F.when(F.col("repeat_no") > 1, F.concat_ws("-", "record_id", "repeat_no")).otherwise(F.col("record_id")))
@@ -245,11 +247,14 @@ def standardize(s: DataFrame, entities: DataFrame, tables: DataFrame, resolved:
     order = Window.partitionBy("document_id").orderBy("section_no")
     one = lambda c, *cols: F.sort_array(F.collect_list(F.struct(*cols))).alias(c)
     m = entities.groupBy("record_id").agg(one("entities", F.col("start").alias("start_char"), F.col("end").alias("end_char"), "entity_type", F.col("name").alias("text"), "currency", "amount"))
-    t = tables.groupBy("record_id").agg(one("tables", "table_no", "table_type", "units", "summary", "columns_json", "rows_json"))
+    # Ordered by number alone: rows are maps, which have no order.
+    table = F.struct("table_no", "table_type", "units", "columns", "rows", "summary", "summary_used_llm", "summary_source", "summary_cache_status")
+    in_order = F.array_sort(F.collect_list(table), lambda a, b: (a["table_no"] - b["table_no"]).cast("int"))
+    t = tables.groupBy("record_id").agg(in_order.alias("tables"))
     r = resolved.groupBy("record_id").agg(one("resolved", "canonical_name", "entity_type", "matched_text", "resolution_method", "resolution_score"))
     j = s.join(m, "record_id", "left").join(t, "record_id", "left").join(r, "record_id", "left")
     json = lambda c: F.coalesce(F.to_json(c), F.lit("[]"))
-    size = lambda c: F.coalesce(F.size(F.nullif(F.col(c), F.array().cast(j.schema[c].dataType))), F.lit(0))
+    size = lambda c: F.greatest(F.coalesce(F.size(c), F.lit(0)), F.lit(0))
     joined = lambda c, f, sep: F.coalesce(F.array_join(F.filter(F.transform(c, lambda x: x[f]), lambda x: x != ""), sep), F.lit(""))
     out = j.select(
         "document_id", "record_id", (F.row_number().over(order) - 1).alias("chunk_index"), name.alias("source_filename"), C.company_of(name).alias("company_name"),
@@ -259,21 +264,24 @@ def standardize(s: DataFrame, entities: DataFrame, tables: DataFrame, resolved:
         (size("entities") > 0).alias("has_entities"), (size("resolved") > 0).alias("has_resolved_entities"), (size("tables") > 0).alias("has_tables"), size("tables").alias("table_count"),
         F.lit("[]").alias("processing_warnings_json"), F.lit(0).alias("warning_count"), F.length("section_text").alias("text_char_count"),
     )
-    none = lambda c: F.coalesce(F.nullif(F.col(c), F.lit("")), F.lit("none"))
-    labels = [("Company", "company_name"), ("Section", "heading"), ("Category", "section_category"), ("Resolved entities", "resolved_entity_names"), ("Table summaries", "table_summaries")]
-    return out.withColumn("retrieval_text", F.concat_ws("\n\n", *(F.concat(F.lit(f"{k}: "), none(c)) for k, c in labels), F.concat(F.lit("Text: "), F.substring("chunk_text", 1, 4000))))
+    return out.withColumn("retrieval_text", labelled_text(F.col("chunk_text")))
 
 
-def pipeline(documents: DataFrame, extract: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
+def pipeline(documents: DataFrame, extract: Callable[[DataFrame], DataFrame] | None = None, summarize: Callable[[str], str | None] | None = None, cache: DataFrame | None = None, paths: DataFrame | None = None) -> DataFrame:
     """Documents (document_id, source_path, raw_text) to standardised records, end to end.
 
     `extract` takes records (document_id, record_id, section_no, chunk_text) to
-    mentions as `names` does, which is the default.
+    mentions as `names` does, which is the default. `summarize` is the provider
+    of table summaries, `cache` what it has replied before; without one the
+    summaries are deterministic. `paths` (document_id, source_path) saves a
+    second reading of the texts for their paths alone.
     """
-    found = cut(identified(cut(sections.parse_sections(documents), "sections"), documents), "identified")
+    found = cut(identified(cut(sections.parse_sections(documents), "sections"), documents if paths is None else paths), "identified")
     keyed = found.select("document_id", "record_id", "section_no", F.col("section_text").alias("chunk_text"))
     money = keyed.select("record_id", F.inline(C.money_mentions(F.col("chunk_text"))))
-    tables = text_tables.detect_tables(keyed)
+    headed = text_tables.detect_tables(keyed).join(found.select("record_id", "heading"), "record_id")
+    known = cache if cache is not None else documents.sparkSession.createDataFrame([], enrich.CACHE)
+    tables, _, _ = table_enrich.apply_summaries(headed, known, summarize)
     named = cut((extract or names)(keyed), "named")
     resolved = resolve.attach(named, resolve.resolve(named)[1])
     amounts = money.select("record_id", "start", "end", F.lit("monetary_value").alias("entity_type"), F.col("match").alias("name"), "currency", "amount")
@@ -320,4 +328,4 @@ def names(records: DataFrame) -> DataFrame:
 @query()
 def proj_standardize(spark, sf_dir):
     """The whole pipeline over the filings' texts."""
-    return pipeline(filing_texts(spark, sf_dir))
+    return pipeline(filing_texts(spark, sf_dir), paths=filings(spark, sf_dir, "source_path"))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ledgerloom.functions import columns as C
@@ -90,21 +90,22 @@ def preview(spark, sf_dir):
     return read_table(spark, sf_dir, "documents").where("text IS NOT NULL").select("doc_id", C.preview(F.col("text"), 80).alias("preview"))
 
 
-def _or_none(c):
-    return F.coalesce(F.nullif(F.trim(c), F.lit("")), F.lit("none"))
+def labelled_text(text: Column) -> Column:
+    """The labelled parts that are embedded: 'none' where no names are resolved or tables summed up, other nulls as empty, text to 4,000 characters as the format says."""
+    none = lambda c: F.coalesce(F.nullif(F.col(c), F.lit("")), F.lit("none"))
+    plain = lambda c: F.coalesce(F.col(c), F.lit(""))
+    labels = [("Company", plain("company_name")), ("Section", plain("heading")), ("Category", plain("section_category")), ("Resolved entities", none("resolved_entity_names")), ("Table summaries", none("table_summaries"))]
+    return F.concat_ws("\n\n", *(F.concat(F.lit(f"{k}: "), v) for k, v in labels), F.concat(F.lit("Text: "), F.coalesce(F.substring(text, 1, 4000), F.lit(""))))
 
 
-@query(f"""SELECT record_id, 'Company: ' || coalesce(nullif(trim(company_name), ''), 'none') || chr(10) || chr(10) || 'Section: ' || coalesce(nullif(trim(heading), ''), 'none')
- || chr(10) || chr(10) || 'Category: ' || coalesce(nullif(trim(section_category), ''), 'none') || chr(10) || chr(10) || 'Resolved entities: ' || coalesce(nullif(trim(resolved_entity_names), ''), 'none')
- || chr(10) || chr(10) || 'Table summaries: ' || coalesce(nullif(trim(table_summaries), ''), 'none') || chr(10) || chr(10) || 'Text: ' || coalesce(substr(chunk_text, 1, 4000), '') AS retrieval_text
+@query(f"""SELECT record_id, 'Company: ' || coalesce(company_name, '') || chr(10) || chr(10) || 'Section: ' || coalesce(heading, '')
+ || chr(10) || chr(10) || 'Category: ' || coalesce(section_category, '') || chr(10) || chr(10) || 'Resolved entities: ' || coalesce(nullif(resolved_entity_names, ''), 'none')
+ || chr(10) || chr(10) || 'Table summaries: ' || coalesce(nullif(table_summaries, ''), 'none') || chr(10) || chr(10) || 'Text: ' || coalesce(substr(chunk_text, 1, 4000), '') AS retrieval_text
  FROM {SQL_CHUNKS}""")
 def retrieval_text(spark, sf_dir):
-    """The labelled parts that are embedded, text to 4000 characters as the format says."""
+    """The labelled parts of each record."""
     c = chunks(spark, sf_dir, "company_name", "heading", "section_category", "resolved_entity_names", "table_summaries", "chunk_text")
-    parts = [("Company", "company_name"), ("Section", "heading"), ("Category", "section_category"), ("Resolved entities", "resolved_entity_names"), ("Table summaries", "table_summaries")]
-    labelled = [F.concat(F.lit(f"{k}: "), _or_none(F.col(v))) for k, v in parts]
-    text = F.concat(F.lit("Text: "), F.coalesce(F.substring("chunk_text", 1, 4000), F.lit("")))
-    return c.select("record_id", F.concat_ws("\n\n", *labelled, text).alias("retrieval_text"))
+    return c.select("record_id", labelled_text(F.col("chunk_text")).alias("retrieval_text"))
 
 
 @query(f"""SELECT record_id, coalesce(entity_names, '') <> '' AS has_entities, coalesce(table_count, 0) > 0 AS has_tables, coalesce(warning_count, 0) AS warning_count,

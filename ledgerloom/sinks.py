@@ -5,7 +5,7 @@ from __future__ import annotations
 import html
 from collections.abc import Callable, Iterator
 
-from pyspark.sql import DataFrame, Row
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -47,23 +47,57 @@ def append_log(df: DataFrame, path: str) -> None:
     df.write.mode("append").option("header", True).csv(path)
 
 
+_AS_IS = {"ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
+
+
+def write_csv(df: DataFrame, path: str) -> None:
+    """One CSV file with a header, for a sample that a person reads; quotes doubled, line ends kept."""
+    df.coalesce(1).write.mode("overwrite").option("header", True).option("escape", '"').option("quoteAll", True).options(**_AS_IS).csv(path)
+
+
+def read_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """What `write_csv` wrote."""
+    return spark.read.option("header", True).option("escape", '"').option("multiLine", True).option("lineSep", "\n").options(**_AS_IS).schema(schema).csv(path)
+
+
+def write_index(vectors: DataFrame, metadata: DataFrame, path: str) -> None:
+    """An index: vectors and their records' metadata, each a Parquet table under `path`."""
+    vectors.write.mode("overwrite").parquet(f"{path}/vectors")
+    metadata.write.mode("overwrite").parquet(f"{path}/metadata")
+
+
 def merge_cache(cache: DataFrame, new: DataFrame, key: str) -> DataFrame:
     """The cache with the new entries; of one key, the new entry holds."""
     return new.dropDuplicates([key]).unionByName(cache.join(new.select(key), key, "left_anti"))
 
 
-def cards_html(records: DataFrame, title: str) -> str:
-    """A page of the records, which the caller has limited: heading, document and the start of the text."""
-    rows = records.select("document_id", "heading", "section_category", F.left("chunk_text", F.lit(400)).alias("text")).collect()
-    cards = "\n".join(f"<section><h2>{html.escape(r['heading'] or '')}</h2><p>{html.escape(r['document_id'] or '')} · {html.escape(r['section_category'] or '')}</p><pre>{html.escape(r['text'] or '')}</pre></section>" for r in rows)
+def escaped(text: Column) -> Column:
+    """HTML-safe text; null as empty."""
+    out = F.coalesce(text, F.lit(""))
+    for plain, safe in (("&", "&amp;"), ("<", "&lt;"), (">", "&gt;"), ('"', "&quot;"), ("'", "&#x27;")):
+        out = F.replace(out, F.lit(plain), F.lit(safe))
+    return out
+
+
+def card(counts: list[tuple[Column, str]] | None = None) -> Column:
+    """A record's card: heading, document, category, counts where given, the start of the text."""
+    items = [F.concat(F.lit("<li>"), n.cast("string"), F.lit(f" {what}</li>")) for n, what in counts or []]
+    listed = F.concat(F.lit("<ul>"), *items, F.lit("</ul>")) if items else F.lit("")
+    head = (F.lit("<section><h2>"), escaped(F.col("heading")), F.lit("</h2><p>"), escaped(F.col("document_id")), F.lit(" · "), escaped(F.col("section_category")), F.lit("</p>"))
+    return F.concat(*head, listed, F.lit("<pre>"), escaped(F.left("chunk_text", F.lit(400))), F.lit("</pre></section>"))
+
+
+def cards_html(records: DataFrame, title: str, most: int = 500) -> str:
+    """A page of the first `most` records by id."""
+    cards = "\n".join(r["card"] for r in records.orderBy("record_id").limit(most).select("record_id", card().alias("card")).orderBy("record_id").collect())
     return f"<!doctype html><meta charset='utf-8'><title>{html.escape(title)}</title>\n{cards}\n"
 
 
-def markdown_report(title: str, tables: dict[str, DataFrame]) -> str:
-    """A report of small aggregates, one table each."""
+def markdown_report(title: str, tables: dict[str, DataFrame], most: int = 500) -> str:
+    """A report of aggregates, one table each of at most `most` rows."""
     parts = [f"# {title}"]
     for name, df in tables.items():
-        rows = df.collect()
+        rows = df.limit(most).collect()
         head = "| " + " | ".join(df.columns) + " |\n|" + "---|" * len(df.columns)
         parts.append(f"## {name}\n\n{head}\n" + "\n".join("| " + " | ".join("" if v is None else str(v) for v in r) + " |" for r in rows))
     return "\n\n".join(parts) + "\n"

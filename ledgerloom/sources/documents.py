@@ -3,7 +3,10 @@
 from __future__ import annotations
 
 import re
+import warnings
+from collections.abc import Callable, Iterator
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -56,7 +59,7 @@ def read_text_documents(spark: SparkSession, folder: str, limit: int | None = No
 
 def read_text_legacy(spark: SparkSession, folder: str) -> DataFrame:
     """(text, filepath) of files whose suffix is .txt exactly, in no order."""
-    files = spark.read.option("wholetext", True).option("pathGlobFilter", "*.txt").text(folder)
+    files = spark.read.text(folder, wholetext=True, pathGlobFilter="*.txt")
     return files.select(F.col("value").alias("text"), local_path(F.col("_metadata.file_path")).alias("filepath"))
 
 
@@ -82,3 +85,39 @@ def read_jsonl(spark: SparkSession, path: str, schema: str) -> DataFrame:
 def read_metrics_csv(spark: SparkSession, path: str) -> DataFrame:
     """A call log with a header."""
     return spark.read.option("header", True).schema(METRICS).csv(path)
+
+
+def read_index(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
+    """(vectors, metadata) of an index as `write_index` wrote it."""
+    return spark.read.parquet(f"{path}/vectors"), spark.read.parquet(f"{path}/metadata")
+
+
+PAGES = "source_path string, page_number int, text string"
+
+
+def pdf_pages(content: bytes) -> list[str]:
+    """The texts of a PDF's pages by the PyMuPDF library, where it is installed."""
+    import pymupdf
+
+    with pymupdf.open(stream=content, filetype="pdf") as pdf:
+        return [page.get_text() for page in pdf]
+
+
+def read_pdf_documents(spark: SparkSession, folder: str, extract: Callable[[bytes], list[str]] = pdf_pages) -> DataFrame:
+    """One row per .pdf file (any case of the suffix), its pages by `extract`; files that it fails on, or all where its library is missing, are left out.
+
+    The pages go through `documents_from_pages`, so each has its quality.
+    """
+
+    def batches(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in frames:
+            out = []
+            for path, content in zip(pdf["source_path"], pdf["content"]):
+                try:
+                    out += [(path, i + 1, text) for i, text in enumerate(extract(content))]
+                except Exception as failure:  # one file's failure isn't the job's
+                    warnings.warn(f"{path}: {failure}", stacklevel=1)
+            yield pd.DataFrame(out, columns=["source_path", "page_number", "text"])
+
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.[pP][dD][fF]").load(folder)
+    return documents_from_pages(files.select(local_path(F.col("path")).alias("source_path"), "content").mapInPandas(batches, PAGES))
