@@ -199,7 +199,7 @@ def agg_table_quality(spark, sf_dir):
 _TABLES_SQL = f"""(SELECT record_id, CAST(i - 1 AS BIGINT) AS table_no, tt[i] AS t FROM (SELECT record_id, CASE json_type(j) WHEN 'ARRAY' THEN CAST(j AS JSON[])
  WHEN 'OBJECT' THEN CASE json_type(j, '$.tables') WHEN 'ARRAY' THEN CAST(json_extract(j, '$.tables') AS JSON[]) WHEN 'OBJECT' THEN [json_extract(j, '$.tables')] ELSE [j] END ELSE [] END AS tt
  FROM (SELECT record_id, CASE WHEN json_valid(tables_json) THEN CASE WHEN json_type(tables_json) = 'VARCHAR' THEN CASE WHEN json_valid(json_extract_string(tables_json, '$')) THEN CAST(json_extract_string(tables_json, '$') AS JSON) END
- ELSE CAST(tables_json AS JSON) END END AS j FROM {SQL_CHUNKS})), range(1, 100) r(i) WHERE i <= len(tt))"""
+ ELSE CAST(tables_json AS JSON) END END AS j FROM {SQL_CHUNKS})), unnest(generate_series(1, len(tt))) r(i))"""
 
 
 @query(f"SELECT record_id, table_no, json_extract_string(t, '$.table_type') AS table_type, json_extract_string(t, '$.units') AS units FROM {_TABLES_SQL}")

@@ -191,7 +191,7 @@ def heading_rules(spark, sf_dir):
 
 
 _LINES_SQL = f"""(SELECT document_id, CAST(i AS BIGINT) AS line_no, lines[i] AS line FROM (SELECT document_id, string_split(raw_text, chr(10)) AS lines FROM {SQL_FILINGS} WHERE raw_text IS NOT NULL)
- , range(1, 10000) r(i) WHERE i <= len(lines))"""
+ , unnest(generate_series(1, len(lines))) r(i))"""
 
 
 def _lines(spark, sf_dir):
