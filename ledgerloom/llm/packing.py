@@ -115,61 +115,68 @@ def plan(counts: dict[int, int], capacity: int) -> list[Slot]:
     return slots
 
 
-def pieces(sized: DataFrame, key: str, size: str, capacity: int) -> DataFrame:
-    """(key, piece_no, first_token, n_tokens): items over the capacity in full pieces and a rest, others whole."""
+_PACK = ["pack_name", "capacity_tokens"]
+
+
+def pieces(sized: DataFrame, key: str, size: str) -> DataFrame:
+    """(pack_name, capacity_tokens, key, piece_no, first_token, n_tokens): items over the row's capacity in full pieces and a rest, others whole."""
+    capacity = F.col("capacity_tokens")
     whole = F.floor(F.col(size) / capacity).cast("bigint")
-    full = F.when(whole > 0, F.transform(F.sequence(F.lit(0).cast("bigint"), whole - 1), lambda i: F.struct(i.alias("piece_no"), (i * capacity).alias("first_token"), F.lit(capacity).cast("bigint").alias("n_tokens"))))
+    full = F.when(whole > 0, F.transform(F.sequence(F.lit(0).cast("bigint"), whole - 1), lambda i: F.struct(i.alias("piece_no"), (i * capacity).alias("first_token"), capacity.alias("n_tokens"))))
     rest = F.col(size) - whole * capacity
     last = F.when(rest > 0, F.array(F.struct(whole.alias("piece_no"), (whole * capacity).alias("first_token"), rest.cast("bigint").alias("n_tokens"))))
     empty = F.array().cast("array<struct<piece_no:bigint,first_token:bigint,n_tokens:bigint>>")
-    return sized.where(F.col(size) > 0).select(key, F.inline(F.concat(F.coalesce(full, empty), F.coalesce(last, empty))))
+    return sized.where(F.col(size) > 0).select(*_PACK, key, F.inline(F.concat(F.coalesce(full, empty), F.coalesce(last, empty))))
 
 
 def pack(sized: DataFrame, key: str, size: str, capacity: int, buckets: int = BUCKETS) -> DataFrame:
-    """(container_no, key, piece_no, first_token, n_tokens) of all items with a positive size.
+    """(container_no, key, piece_no, first_token, n_tokens) of all items with a positive size, for one capacity."""
+    return pack_all(sized, key, size, [("one", capacity)], buckets).drop(*_PACK)
+
 
-    Items of null or no size take no container. The driver gets one row per
-    size, at most `capacity` rows, and sends back the plan, at most
-    buckets * buckets rows.
+def pack_all(sized: DataFrame, key: str, size: str, capacities: list[tuple[str, int]], buckets: int = BUCKETS) -> DataFrame:
+    """(pack_name, capacity_tokens, container_no, key, piece_no, first_token, n_tokens) of all items with a positive size, for each named capacity.
+
+    Items of null or no size take no container. All capacities go through one
+    histogram and one ranking. The driver gets one row per capacity and size, at
+    most as many as the capacities add up to, and sends back the plans, at most
+    buckets * buckets rows each.
     """
     spark = sized.sparkSession
-    cutup = pieces(sized, key, size, capacity)
-    histogram = {r[0]: r[1] for r in cutup.groupBy("n_tokens").count().collect()}
-    bounds = bucket_bounds(histogram, buckets)
-    counts: dict[int, int] = dict.fromkeys(bounds, 0)
-    at = 0
-    for s in sorted(histogram):
-        while s > bounds[at]:
-            at += 1
-        counts[bounds[at]] += histogram[s]
-    slots = spark.createDataFrame(
-        plan(counts, capacity) or [Slot(0, 0, 1, 0, 0)], "bucket bigint, first_rank bigint, each bigint, containers bigint, container bigint"
-    )
-    bound_list = F.array(*(F.lit(b).cast("bigint") for b in bounds)) if bounds else F.array().cast("array<bigint>")
-    bucketed = cutup.withColumn("bucket", F.element_at(F.filter(bound_list, lambda b: b >= F.col("n_tokens")), 1) if bounds else F.lit(0).cast("bigint"))
-    salts = max(SALTS, sum(histogram.values()) // PART_PIECES)
-    salted = bucketed.withColumn("salt", F.pmod(F.xxhash64(key, "piece_no"), F.lit(salts)))
-    sums = salted.groupBy("bucket", "salt").agg(F.count("*").alias("n"))
-    before = Window.partitionBy("bucket").orderBy("salt").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = sums.select("bucket", "salt", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("offset"))
-    order = Window.partitionBy("bucket", "salt").orderBy(key, "piece_no")
-    ranked = salted.withColumn("n", F.row_number().over(order)).join(offsets, ["bucket", "salt"])
+    packs = F.array(*(F.struct(F.lit(name).alias("pack_name"), F.lit(c).cast("bigint").alias("capacity_tokens")) for name, c in capacities))
+    sized = cut(sized.select(key, size), "sizes")
+    cutup = pieces(sized.select(key, size, F.inline(packs)) if capacities else sized.select(key, size, F.lit("").alias("pack_name"), F.lit(1).cast("bigint").alias("capacity_tokens")).limit(0), key, size)
+    histograms: dict[str, dict[int, int]] = {name: {} for name, _ in capacities}
+    for r in cutup.groupBy("pack_name", "n_tokens").count().collect():
+        histograms[r["pack_name"]][r["n_tokens"]] = r["count"]
+    slots, bucket = [], F.lit(None).cast("bigint")
+    for name, capacity in capacities:
+        histogram = histograms[name]
+        bounds = bucket_bounds(histogram, buckets)
+        counts: dict[int, int] = dict.fromkeys(bounds, 0)
+        at = 0
+        for s in sorted(histogram):
+            while s > bounds[at]:
+                at += 1
+            counts[bounds[at]] += histogram[s]
+        slots += [(name, *slot) for slot in plan(counts, capacity)]
+        if bounds:
+            of_size = F.element_at(F.filter(F.array(*(F.lit(b).cast("bigint") for b in bounds)), lambda b: b >= F.col("n_tokens")), 1)
+            bucket = F.when(F.col("pack_name") == name, of_size).otherwise(bucket)
+    plans = spark.createDataFrame(slots or [("", 0, 0, 1, 0, 0)], "of_pack string, b bigint, first_rank bigint, each bigint, containers bigint, container bigint")
+    salts = max(SALTS, max((sum(h.values()) for h in histograms.values()), default=0) // PART_PIECES)
+    scope = ["pack_name", "bucket", "salt"]
+    salted = cutup.withColumn("bucket", bucket).withColumn("salt", F.pmod(F.xxhash64(key, "piece_no"), F.lit(salts)))
+    sums = salted.groupBy(*scope).agg(F.count("*").alias("n"))
+    before = Window.partitionBy("pack_name", "bucket").orderBy("salt").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sums.select(*scope, F.coalesce(F.sum("n").over(before), F.lit(0)).alias("offset"))
+    ranked = salted.withColumn("n", F.row_number().over(Window.partitionBy(*scope).orderBy(key, "piece_no"))).join(offsets, scope)
     ranked = ranked.withColumn("rank", F.col("offset") + F.col("n") - 1)
     inside = (F.col("rank") >= F.col("first_rank")) & (F.col("rank") < F.col("first_rank") + F.col("each") * F.col("containers"))
-    # The plan is bounded by the number of buckets, however large the input.
-    placed = ranked.join(F.broadcast(slots.withColumnRenamed("bucket", "b")), (F.col("bucket") == F.col("b")) & inside)
+    # The plans are bounded by the number of buckets, however large the input.
+    placed = ranked.join(F.broadcast(plans), (F.col("pack_name") == F.col("of_pack")) & (F.col("bucket") == F.col("b")) & inside)
     number = F.col("container") + F.floor((F.col("rank") - F.col("first_rank")) / F.col("each"))
-    return placed.select(number.cast("bigint").alias("container_no"), key, "piece_no", "first_token", "n_tokens")
-
-
-def pack_all(sized: DataFrame, key: str, size: str, capacities: list[tuple[str, int]]) -> DataFrame:
-    """The containers of each named capacity, one below the other; `sized` is written once and read for each."""
-    sized = cut(sized.select(key, size), "sizes")
-    out = None
-    for name, capacity in capacities:
-        one = pack(sized, key, size, capacity).select(F.lit(name).alias("pack_name"), F.lit(capacity).cast("bigint").alias("capacity_tokens"), "*")
-        out = one if out is None else out.unionByName(one)
-    return out
+    return placed.select(*_PACK, number.cast("bigint").alias("container_no"), key, "piece_no", "first_token", "n_tokens")
 
 
 def fill_report(containers: DataFrame) -> DataFrame:
