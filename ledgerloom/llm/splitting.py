@@ -35,7 +35,7 @@ _WIDE_ENDS = np.array([ord(c) for c in "。！？"], dtype=np.uint32)
 _CLOSERS = np.array([ord(c) for c in "\"')]}”’»"], dtype=np.uint32)
 _WIDE_CLOSERS = np.array([ord(c) for c in "」』）】〉》”’"], dtype=np.uint32)
 #: What never starts a cluster behind another character: marks, joiners, skin tones.
-_MARKS = np.array([c for c in range(sys.maxunicode + 1) if unicodedata.category(chr(c))[0] == "M" or 0x1F3FB <= c <= 0x1F3FF] + [0x200C, 0x200D], dtype=np.uint32)
+_IS_MARK = np.array([unicodedata.category(chr(c))[0] == "M" or 0x1F3FB <= c <= 0x1F3FF or c in (0x200C, 0x200D) for c in range(sys.maxunicode + 1)])
 _CLUSTER = regex.compile(r"\X")
 
 
@@ -55,7 +55,7 @@ def boundaries(text: str, limit: int = LIMIT, overlap: int = OVERLAP) -> tuple[n
     codes = _codes(text)
     n = len(codes)
     blank = np.isin(codes, _BLANKS)
-    starts_cluster = ~np.isin(codes, _MARKS)
+    starts_cluster = ~_IS_MARK[codes]
     word_start = np.flatnonzero(~blank[1:] & blank[:-1] & starts_cluster[1:]) + 1
     wide = np.flatnonzero(np.isin(codes[:-1], _WIDE_ENDS)) + 1 if n else np.array([], dtype=np.int64)
     while len(closed := np.flatnonzero(np.isin(codes[np.minimum(wide, n - 1)], _WIDE_CLOSERS) & (wide < n))) if n else 0:
