@@ -219,11 +219,20 @@ def _as_edges(graph: DataFrame) -> DataFrame:
     return graph.select("u", F.inline("list")).select("u", "v", (-F.col("d")).alias("similarity"))
 
 
+def _padded(lists: pd.Series, width: int) -> np.ndarray:
+    """Lists of at most `width` ids as a matrix, filled up with -1."""
+    sizes = lists.map(len).to_numpy()
+    out = np.full((len(lists), width), -1, dtype=np.int64)
+    out[np.arange(width)[None, :] < sizes[:, None]] = np.concatenate([*lists, np.zeros(0, np.int64)])
+    return out
+
+
 def descend(nodes: DataFrame, graph: DataFrame, changed: DataFrame | None, keep: int) -> DataFrame:
     """The graph after one round: neighbours of one host compared with each other.
 
     After the first round only hosts whose list has changed take part; a pair
-    is passed on only if it would enter the list of its first node.
+    is passed on only if it isn't in the list of its first node yet and would
+    enter it.
     """
     links = _as_edges(graph)
     nearest = Window.partitionBy("host").orderBy(F.col("similarity").desc(), "member")
@@ -233,20 +242,22 @@ def descend(nodes: DataFrame, graph: DataFrame, changed: DataFrame | None, keep:
     if changed is not None:
         hosted = hosted.join(changed.select(F.col("u").alias("host")), "host", "left_semi")
     worst = F.when(F.size("list") >= keep, -F.element_at("list", -1)["d"]).otherwise(F.lit(-2.0))
-    bars = graph.select(F.col("u").alias("member"), worst.alias("bar"))
+    bars = graph.select(F.col("u").alias("member"), worst.alias("bar"), F.col("list.v").alias("known"))
     members = nodes.select(F.col("id").alias("member"), "unit").join(bars, "member", "left")
-    met = hosted.join(members, "member").select("host", "member", "unit", F.coalesce("bar", F.lit(-2.0)).alias("bar"))
+    met = hosted.join(members, "member").select("host", "member", "unit", F.coalesce("bar", F.lit(-2.0)).alias("bar"), F.coalesce("known", F.array().cast("array<bigint>")).alias("known"))
 
     def compare(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in whole_groups(frames, "host"):
             us, vs, ss = [], [], []
             ids, bar = pdf["member"].to_numpy(), pdf["bar"].to_numpy()
             x = _matrix(pdf["unit"]).astype(np.float64)
+            known = _padded(pdf["known"], keep)
             for a, b in _groups(pdf, "host"):
                 if b - a < 2:
                     continue
                 s = x[a:b] @ x[a:b].T
-                i, j = np.nonzero((s > bar[a:b][:, None]) & ~np.eye(b - a, dtype=bool))
+                have = (known[a:b, None, :] == ids[None, a:b, None]).any(axis=2)
+                i, j = np.nonzero((s > bar[a:b][:, None]) & ~have & ~np.eye(b - a, dtype=bool))
                 us.append(ids[a:b][i])
                 vs.append(ids[a:b][j])
                 ss.append(s[i, j])
