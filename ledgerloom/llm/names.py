@@ -118,11 +118,11 @@ def read_company(text: str) -> Name:
         while len(words) > 1 and words[-1] == ",":
             words.pop()
     if "," in words:
-        # "Services, Fenzorn International": what stands before the comma belongs at the end.
+        # "Services, Acme International": what stands before the comma belongs at the end.
         at = words.index(",")
         words = words[at + 1 :] + words[:at]
     if "of" in words[1:-1]:
-        # "Energy Systems of Mornax": the lead stands behind.
+        # "Energy Systems of Acme": the lead stands behind.
         at = len(words) - 1 - words[::-1].index("of")
         words = words[at + 1 :] + words[:at]
     words = [w for w in words if w not in _LINKS and w != ","]
