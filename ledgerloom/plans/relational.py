@@ -4,12 +4,16 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import numpy as np
+import pandas as pd
+from pyarrow import dataset, fs
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ledgerloom.functions import columns as C
 from ledgerloom.functions import rules as R
 from ledgerloom.plans.base import SQL_CHUNKS, SQL_FILINGS, chunks, filings
+from ledgerloom.session import scratch
 from ledgerloom.sources import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -605,24 +609,46 @@ def l2_normalize(spark, sf_dir):
     return e.select("vec_id", F.round(norm, 6).alias("norm"), F.round(F.get("embedding", F.lit(0)).cast("double") / norm, 6).alias("first"))
 
 
-#: Queries of a block: what a search against all rows broadcasts at a time.
-QUERY_BLOCK = 4_096
-
-
 def _knn(spark, sf_dir, wanted, k):
-    """The k nearest of each wanted vector, all rows against one bounded block of queries after the other."""
-    e = read_table(spark, sf_dir, "embeddings")
-    asked = e.where(wanted).select(F.col("vec_id").alias("query_id"), F.col("embedding").alias("q"))
-    blocks = max(1, -(-asked.count() // QUERY_BLOCK))
-    dot = F.aggregate(F.zip_with("q", "embedding", lambda a, b: a.cast("double") * b.cast("double")), F.lit(0.0), lambda s, x: s + x)
+    """The k nearest of each wanted vector by exact inner product, ties by the smaller id; null and empty vectors take no part.
+
+    One scan: each task reads its own rows, then the query table from the shared
+    folder block by block, and passes on its k best of each query. The last
+    ranking thus sees k rows a query and task.
+    """
+    e = read_table(spark, sf_dir, "embeddings").where(F.col("vec_id").isNotNull() & (F.size("embedding") > 0)).select("vec_id", "embedding")
+    e.where(wanted).write.parquet(asked := scratch(spark, "asked"))
+
+    def nearest(frames):
+        parts = [(pdf["vec_id"].to_numpy(), np.stack(pdf["embedding"].to_numpy()).astype(np.float64)) for pdf in frames if len(pdf)]
+        if parts:
+            ids, x = np.concatenate([i for i, _ in parts]), np.concatenate([v for _, v in parts])
+            system, root = fs.FileSystem.from_uri(asked)
+            for batch in dataset.dataset(root, filesystem=system, format="parquet").to_batches(batch_size=QUERY_BLOCK):
+                if batch.num_rows:
+                    asking = batch.column("vec_id").to_numpy()
+                    yield best_products(asking, np.stack(batch.column("embedding").to_numpy(zero_copy_only=False)).astype(np.float64), ids, x, k)
+
+    found = e.mapInPandas(nearest, "query_id bigint, neighbour_id bigint, score double")
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "neighbour_id"))
-    out = None
-    for i in range(blocks):
-        block = asked.where(F.pmod(F.xxhash64("query_id"), F.lit(blocks)) == i)
-        scored = e.join(F.broadcast(block)).select("query_id", F.col("vec_id").alias("neighbour_id"), F.round(dot, 6).alias("score"))
-        best = scored.withColumn("rank", rank.cast("bigint")).where(F.col("rank") <= k)
-        out = best if out is None else out.unionAll(best)
-    return out
+    return found.withColumn("rank", rank.cast("bigint")).where(F.col("rank") <= k)
+
+
+#: Queries and rows of a block whose products are held at a time.
+QUERY_BLOCK, ROW_BLOCK = 1_024, 8_192
+
+
+def best_products(asking: np.ndarray, q: np.ndarray, ids: np.ndarray, x: np.ndarray, k: int) -> pd.DataFrame:
+    """query_id, neighbour_id, score: the k rows of highest inner product of each query, block of rows by block."""
+    out = []
+    for at in range(0, len(ids), ROW_BLOCK):
+        s = np.round(q @ x[at : at + ROW_BLOCK].T, 6)
+        least = -np.partition(-s, min(k, s.shape[1]) - 1, axis=1)[:, min(k, s.shape[1]) - 1]
+        # All that tie with the last of the k stay, so the ids decide.
+        row, column = np.nonzero(s >= least[:, None])
+        out.append(pd.DataFrame({"query_id": asking[row], "neighbour_id": ids[at : at + ROW_BLOCK][column], "score": s[row, column]}))
+    every = pd.concat(out).sort_values(["query_id", "score", "neighbour_id"], ascending=[True, False, True])
+    return every.groupby("query_id").head(k)
 
 
 _KNN_SQL = """SELECT query_id, neighbour_id, score, CAST(rank AS BIGINT) AS rank FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, neighbour_id) AS rank FROM
