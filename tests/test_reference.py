@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from ledgerloom.functions import columns as C
 from ledgerloom.functions import fuzzy
-from ledgerloom.operators import enrich, graph, resolve, retrieval, sections, text_tables
+from ledgerloom.operators import enrich, graph, resolve, retrieval, sections, table_enrich, text_tables
 from ledgerloom.session import cut
 
 SPACED = """(In millions, except per-share amounts)   2014   2013   2012
@@ -141,3 +141,102 @@ def test_embedding_keeps_unchanged_texts(spark):
     changed = spark.createDataFrame([("a", "one two"), ("b", "new")], "record_id string, retrieval_text string")
     got = retrieval.embed(changed, known=known, embedder=lambda t: retrieval.hashed_words(t)).collect()
     assert len(got) == 2 and {len(r.embedding) for r in got} == {64}
+
+
+def table(spark, columns, rows, summary="plain", heading="H", raw="raw"):
+    schema = "record_id string, table_no bigint, heading string, columns array<string>, rows array<map<string,string>>, raw_text string, summary string"
+    return spark.createDataFrame([("r", 0, heading, columns, rows, raw, summary)], schema)
+
+
+def test_summaries_come_from_the_provider_once(spark, tmp_path):
+    import json
+
+    path, asked = str(tmp_path / "cache"), str(tmp_path / "asked")
+
+    def call(payload):
+        with open(asked, "a") as log:
+            log.write("x\n")
+        return json.dumps({"summary": "inferred", "columns": ["Item", "2020", None]}) if json.loads(payload)["infer"] else "written"
+
+    def run(t, provider=call):
+        out, grown, log = table_enrich.apply_summaries(t, enrich.read_cache(spark, path), provider)
+        rows, log, grown = out.collect(), log.collect(), cut(grown, "grown")
+        enrich.append_cache(grown, path)
+        return rows[0], [r.status for r in log]
+
+    named = table(spark, ["Item", "2020"], [{"Item": "a", "2020": "1"}])
+    first, log = run(named)
+    assert (first.summary, first.summary_source, first.summary_cache_status, log) == ("written", "llm", "miss", ["ok"])
+    again, log = run(named)
+    assert (again.summary, again.summary_cache_status, log) == ("written", "hit", ["cache_hit"])
+    changed, _ = run(table(spark, ["Item", "2020"], [{"Item": "a", "2020": "2"}]))
+    assert changed.summary_cache_status == "miss" and len(open(asked).read().split()) >= 2
+    generic, _ = run(table(spark, ["Item", "Col1", "Col2"], [{"Item": "a", "Col1": "1", "Col2": "2", "other": "z"}]))
+    assert generic.columns == ["Item", "2020", "Col3"] and generic.rows == [{"Item": "a", "2020": "1", "Col3": "2", "other": "z"}] and generic.summary_source == "llm_inferred"
+    failed, log = run(table(spark, ["Item", "2021"], []), lambda p: None)
+    assert (failed.summary, failed.summary_used_llm, failed.summary_source, log) == ("plain", False, "deterministic", ["error"])
+    off, log = run(named, None)
+    assert (off.summary, off.summary_source, off.summary_cache_status, log) == ("plain", "deterministic", "", [])
+    assert run(table(spark, [], []))[0].summary_source == "deterministic" and run(table(spark, None, None, None, None, None))[0].summary_used_llm is False
+
+
+def test_replies(spark):
+    df = spark.createDataFrame([('```json\n["1a", "x", "7"]\n```',), ("[]",), ("no json",), (None,)], "r string")
+    assert [r.k for r in df.select(table_enrich.reply_keys(F.col("r")).alias("k")).collect()] == [["1A", "7"], [], [], []]
+    bad = spark.createDataFrame([('{"summary": "s", "columns": ["a"]}',), ("?",)], "r string").select(table_enrich.reply_columns(F.col("r"), F.lit(2)).alias("k")).collect()
+    assert [(r.k.summary, r.k.columns) for r in bad] == [("s", None), ("", None)]
+
+
+def test_contents_lists_by_a_provider(spark):
+    # So far apart that they are no contents list themselves.
+    long = "words and more words. " * 50
+    body = "\n".join(f"{h}\n{long}" for h in ("ITEM 1. BUSINESS", "ITEM 1A. RISK FACTORS", "ITEM 1B. UNRESOLVED", "ITEM 2. PROPERTIES"))
+    docs = spark.createDataFrame([("d", body), ("e", FILING), ("f", "plain"), ("g", None)], "document_id string, raw_text string")
+    provided, _, log = sections.provide_toc(docs, spark.createDataFrame([], enrich.CACHE), lambda s: '["1", "1A", "1B", "2"]' if "BUSINESS" in s else "?")
+    provided = cut(provided, "provided")
+    assert {r["document_id"]: r["items"] for r in provided.collect()} == {"d": ["1", "1A", "1B", "2"], "f": []} and log.count() == 2
+    got = {}
+    for r in sections.parse_sections(docs, provided).collect():
+        got.setdefault(r.document_id, []).append(r.parse_method)
+    without = {r.parse_method for r in sections.parse_sections(docs).where("document_id = 'd'").collect()}
+    assert set(got["e"]) == {"toc"} and set(got["f"]) == {"fallback_regex"} and "g" not in got and "llm_toc" not in without
+    assert got["d"] == ["llm_toc"] * 4
+
+
+def test_pdf_pages_by_an_extractor(spark, tmp_path):
+    from ledgerloom.sources import documents
+
+    (tmp_path / "a.PDF").write_bytes(b"one|two")
+    (tmp_path / "bad.pdf").write_bytes(b"!")
+    (tmp_path / "c.txt").write_bytes(b"one")
+
+    def extract(content):
+        if content == b"!":
+            raise ValueError("unreadable")
+        return content.decode().split("|")
+
+    got = documents.read_pdf_documents(spark, str(tmp_path), extract).collect()
+    assert [(r.raw_text, r.page_count, r.file_type) for r in got] == [("one\ntwo", 2, "pdf")]
+    assert documents.read_pdf_documents(spark, str(tmp_path)).count() == 0 or __import__("importlib").util.find_spec("pymupdf")
+
+
+def test_matches_keep_their_places(spark):
+    df = spark.createDataFrame([("é ab ab\nab",), ("",), (None,), ("x" * 5,)], "t string")
+    got = [r.m for r in df.select(C.all_matches(F.col("t"), "ab").alias("m")).collect()]
+    assert [(m.start, m.end, m.match) for m in got[0]] == [(2, 4, "ab"), (5, 7, "ab"), (8, 10, "ab")] and got[1:] == [[], None, []]
+
+
+@pytest.mark.parametrize(("a", "b", "want"), [("Apple Inc", "Apple", "normalized_exact"), ("McCann", "McCann Health", "no_match"), ("GEC", "General Electric Co of America", "no_match"), ("GEA", "General Electric of America", "acronym"), ("abc", "abd", "no_match"), ("", "x", "no_match"), ("Fastenal Corp", "Fastenall Corp", None)])
+def test_rules_of_two_companies(spark, a, b, want):
+    df = spark.createDataFrame([(a, b)], "a string, b string").select("a", "b", C.normalize_company(F.col("a")).alias("na"), C.normalize_company(F.col("b")).alias("nb"))
+    r = df.select(resolve.company_rule(*map(F.col, ("a", "b", "na", "nb"))).alias("r")).first().r
+    assert (r and r.method) == want
+
+
+def test_a_page_and_a_report(spark):
+    from ledgerloom import sinks
+
+    df = spark.createDataFrame([("r", "d", "<H>", None, "a & b")], "record_id string, document_id string, heading string, section_category string, chunk_text string")
+    page = sinks.cards_html(df, "T&T")
+    assert "&lt;H&gt;" in page and "a &amp; b" in page and "T&amp;T" in page
+    assert "| n |\n|---|\n| 1 |" in sinks.markdown_report("R", {"x": spark.sql("SELECT 1 AS n")})
