@@ -197,3 +197,11 @@ SQL = {
         SELECT a AS record_id_a, b AS record_id_b FROM b JOIN n na ON na.record_id = a JOIN n nb ON nb.record_id = b WHERE c >= 0.6 * (na.n + nb.n - c) - 1e-9
     """,
 }
+_SETS = f"(SELECT record_id, min(record_id) OVER (PARTITION BY shingles) AS head FROM (SELECT record_id, array_to_string(list_sort(list(s)), '|') AS shingles FROM {_SHINGLES} GROUP BY 1))"
+SQL |= {
+    "p7_members": f"SELECT record_id, head FROM {_SETS}",
+    "p7_pairs": f"SELECT record_id_a, record_id_b FROM ({SQL['p7_found']}) JOIN {_SETS} a ON a.record_id = record_id_a JOIN {_SETS} b ON b.record_id = record_id_b WHERE a.head = record_id_a AND b.head = record_id_b",
+    "p7_groups": f"""WITH RECURSIVE p AS MATERIALIZED (SELECT record_id_a AS a, record_id_b AS b FROM ({SQL['p7_found']})), e AS MATERIALIZED (SELECT a, b FROM p UNION ALL SELECT b, a FROM p),
+        r(node, seen) AS (SELECT DISTINCT a, a FROM e UNION SELECT r.node, e.b FROM r JOIN e ON e.a = r.seen)
+        SELECT g.record_id, group_id, n_links FROM (SELECT node AS record_id, min(seen) AS group_id FROM r GROUP BY 1) g JOIN (SELECT a AS record_id, CAST(count(*) AS BIGINT) AS n_links FROM e GROUP BY 1) n USING (record_id)""",
+}
