@@ -333,9 +333,8 @@ def linked_spellings(names: DataFrame) -> DataFrame:
     Only spellings of one scope meet that share a token, but for an edit, and
     the initials of the others.
     """
-    clean = names.dropna().where(F.trim("name") != "").distinct()
-    columns = ["scope", "kind", "name"]
-    read = cut(clean.select(*columns).mapInPandas(_read, "scope string, kind string, name string, short boolean, sought array<string>, full array<string>"), "names")
+    clean = names.select("scope", "kind", "name").dropna().where(F.trim("name") != "").distinct()
+    read = cut(clean.mapInPandas(_read, "scope string, kind string, name string, short boolean, sought array<string>, full array<string>"), "names")
     a = read.where("NOT short").select("scope", "kind", F.explode("full").alias("key"), F.col("name").alias("name_b"))
     b = read.select("scope", "kind", F.explode("sought").alias("key"), F.col("name").alias("name_a"), F.col("short").alias("short_a"))
     # Full with full in one direction, short with full in the other: each pair is met once.

@@ -97,21 +97,21 @@ def features(texts: list[str], memo: dict, words: int, least_words: int, side: i
 
 
 def text_classes(records: DataFrame, key: str, text: str, words: int, least_words: int) -> DataFrame:
-    """key, class_id, shingles, half_a, half_b of every text with at least `least_words` words."""
-    names = [key, "class_id", "shingles", "half_a", "half_b"]
+    """record, class_id, shingles, half_a, half_b of every text with at least `least_words` words; the record is its key."""
+    names = ["record", "class_id", "shingles", "half_a", "half_b"]
 
     def batches(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         memo = _WordHash()
         for pdf in frames:
-            kept, sets, classes, a, b = features(pdf[text].tolist(), memo, words, least_words)
+            kept, sets, classes, a, b = features(pdf["text"].tolist(), memo, words, least_words)
             if len(kept):
-                yield pd.DataFrame({key: pdf[key].to_numpy()[kept], "class_id": classes, "shingles": sets, "half_a": list(a), "half_b": list(b)}, columns=names)
+                yield pd.DataFrame({"record": pdf["record"].to_numpy()[kept], "class_id": classes, "shingles": sets, "half_a": list(a), "half_b": list(b)}, columns=names)
 
     kind = dict(records.dtypes)[key]
     return (
-        records.select(key, text)
-        .where(F.col(text).isNotNull())
-        .mapInPandas(batches, f"{key} {kind}, class_id bigint, shingles array<int>, half_a array<bigint>, half_b array<bigint>")
+        records.select(F.col(key).alias("record"), F.col(text).alias("text"))
+        .where("record IS NOT NULL AND text IS NOT NULL")
+        .mapInPandas(batches, f"record {kind}, class_id bigint, shingles array<int>, half_a array<bigint>, half_b array<bigint>")
     )
 
 
@@ -178,25 +178,25 @@ def similar_classes(classes: DataFrame, threshold: float, block: int = BLOCK) ->
 
 
 def linked_classes(records: DataFrame, key: str, text: str, words: int, threshold: float, least_words: int) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """(members, heads, close): key and class_id; class_id, head (the first record) and n of each class; pairs of classes that reach the threshold."""
+    """(members, heads, close): record and class_id; class_id, head (the first record) and n of each class; pairs of classes that reach the threshold."""
     classes = cut(text_classes(records, key, text, words, least_words), "classes")
-    members = classes.select(key, "class_id")
-    heads = members.groupBy("class_id").agg(F.min(key).alias("head"), F.count("*").alias("n"))
+    members = classes.select("record", "class_id")
+    heads = members.groupBy("class_id").agg(F.min("record").alias("head"), F.count("*").alias("n"))
     return members, heads, cut(similar_classes(classes, threshold).select("class_a", "class_b"), "close")
 
 
 def similar_pairs(records: DataFrame, key: str, text: str, words: int = 5, threshold: float = 0.8, least_words: int = 5) -> DataFrame:
     """(key_a, key_b), a < b, of all records whose texts reach the threshold.
 
-    Null texts and texts of fewer than `least_words` words take no part.
-    Records of one class are copies: each pair of them is a result, too. Where
+    Null keys, null texts and texts of fewer than `least_words` words take no
+    part; other columns are ignored. Records of one class are copies: each pair of them is a result, too. Where
     copies are many, `similar_groups` and `representative_pairs` say the same
     in as many rows as there are records and pairs of classes.
     """
     members, heads, close = linked_classes(records, key, text, words, threshold, least_words)
     copies = heads.where("n > 1").select(F.col("class_id").alias("class_a"), F.col("class_id").alias("class_b"))
-    of_a = members.select(F.col("class_id").alias("class_a"), F.col(key).alias("member_a"))
-    of_b = members.select(F.col("class_id").alias("class_b"), F.col(key).alias("member_b"))
+    of_a = members.select(F.col("class_id").alias("class_a"), F.col("record").alias("member_a"))
+    of_b = members.select(F.col("class_id").alias("class_b"), F.col("record").alias("member_b"))
     # A class meets itself in both orders, two classes in one; so no pair comes twice.
     every = close.union(copies).join(of_a, "class_a").join(of_b, "class_b").where("class_a <> class_b OR member_a < member_b")
     return every.select(F.least("member_a", "member_b").alias(f"{key}_a"), F.greatest("member_a", "member_b").alias(f"{key}_b"))
@@ -208,7 +208,7 @@ def representative_pairs(records: DataFrame, key: str, text: str, words: int = 5
     of = lambda side: heads.select(F.col("class_id").alias(f"class_{side}"), F.col("head").alias(f"head_{side}"))
     linked = close.join(of("a"), "class_a").join(of("b"), "class_b")
     pairs = linked.select(F.least("head_a", "head_b").alias(f"{key}_a"), F.greatest("head_a", "head_b").alias(f"{key}_b"))
-    return pairs, members.join(heads.select("class_id", "head"), "class_id").select(key, "head")
+    return pairs, members.join(heads.select("class_id", "head"), "class_id").select(F.col("record").alias(key), "head")
 
 
 def similar_groups(records: DataFrame, key: str, text: str, words: int = 5, threshold: float = 0.8, least_words: int = 5) -> DataFrame:
@@ -223,4 +223,4 @@ def similar_groups(records: DataFrame, key: str, text: str, words: int = 5, thre
     groups = components(ends, "head_a", "head_b").select(F.col("node").alias("head"), "component")
     n_links = F.col("n") - 1 + F.coalesce("n_others", F.lit(0))
     sized = heads.join(others, "class_id", "left").join(groups, "head", "left").select("class_id", F.coalesce("component", "head").alias("group_id"), n_links.alias("n_links"))
-    return members.join(sized.where("n_links > 0"), "class_id").select(key, "group_id", "n_links")
+    return members.join(sized.where("n_links > 0"), "class_id").select(F.col("record").alias(key), "group_id", "n_links")

@@ -134,17 +134,20 @@ def pack(sized: DataFrame, key: str, size: str, capacity: int, buckets: int = BU
     return pack_all(sized, key, size, [("one", capacity)], buckets).drop(*_PACK)
 
 
-def pack_all(sized: DataFrame, key: str, size: str, capacities: list[tuple[str, int]], buckets: int = BUCKETS) -> DataFrame:
+def pack_all(sized: DataFrame, key: str, given: str, capacities: list[tuple[str, int]], buckets: int = BUCKETS) -> DataFrame:
     """(pack_name, capacity_tokens, container_no, key, piece_no, first_token, n_tokens) of all items with a positive size, for each named capacity.
 
-    Items of null or no size take no container. All capacities go through one
+    `given` is the column of the sizes; items of null or no size take no
+    container, other columns are ignored. All capacities go through one
     histogram and one ranking. The driver gets one row per capacity and size, at
     most as many as the capacities add up to, and sends back the plans, at most
     buckets * buckets rows each.
     """
     spark = sized.sparkSession
     packs = F.array(*(F.struct(F.lit(name).alias("pack_name"), F.lit(c).cast("bigint").alias("capacity_tokens")) for name, c in capacities))
-    sized = cut(sized.select(key, size), "sizes")
+    # Names of its own, so that the key may be called anything; it gets its name back at the end.
+    named, key, size = key, "__key", "__size"
+    sized = cut(sized.select(F.col(named).alias(key), F.col(given).alias(size)), "sizes")
     cutup = pieces(sized.select(key, size, F.inline(packs)) if capacities else sized.select(key, size, F.lit("").alias("pack_name"), F.lit(1).cast("bigint").alias("capacity_tokens")).limit(0), key, size)
     histograms: dict[str, dict[int, int]] = {name: {} for name, _ in capacities}
     for r in cutup.groupBy("pack_name", "n_tokens").count().collect():
@@ -176,7 +179,7 @@ def pack_all(sized: DataFrame, key: str, size: str, capacities: list[tuple[str,
     # The plans are bounded by the number of buckets, however large the input.
     placed = ranked.join(F.broadcast(plans), (F.col("pack_name") == F.col("of_pack")) & (F.col("bucket") == F.col("b")) & inside)
     number = F.col("container") + F.floor((F.col("rank") - F.col("first_rank")) / F.col("each"))
-    return placed.select(*_PACK, number.cast("bigint").alias("container_no"), key, "piece_no", "first_token", "n_tokens")
+    return placed.select(*_PACK, number.cast("bigint").alias("container_no"), F.col(key).alias(named), "piece_no", "first_token", "n_tokens")
 
 
 def fill_report(containers: DataFrame) -> DataFrame:

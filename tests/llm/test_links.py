@@ -197,3 +197,15 @@ def test_every_pair_and_link_of_large_classes(spark, tmp_path):
     assert len(got) == len(want) and set(got) == want
     groups = {tuple(r) for r in Q.p7_groups(spark, str(tmp_path)).select("record_id", "group_id", "n_links").collect()}
     assert groups == {(f"{i:04}", "0000", 1101) for i in range(1102)} | {("1103", "1103", 1), ("1104", "1103", 1)}
+
+
+def test_columns_may_bear_the_names_used_inside(spark):
+    base = " ".join(f"w{i}" for i in range(40))
+    rows = [(f"{i}", base + " x" * (i > 1), None, i) for i in range(4)] + [(None, base, None, 9), ("7", None, "n", 9), ("8", "", "n", 9)]
+    df = spark.createDataFrame(rows, "class_id string, shingles string, bucket string, record long")
+    pairs = {tuple(r) for r in D.similar_pairs(df, "class_id", "shingles").collect()}
+    assert pairs == set(itertools.combinations("0123", 2))
+    groups = D.similar_groups(df, "class_id", "shingles")
+    assert groups.columns == ["class_id", "group_id", "n_links"] and {tuple(r) for r in groups.collect()} == {(i, "0", 3) for i in "0123"}
+    named = spark.createDataFrame([("d", "person", "Jane Roe", None), ("d", "person", "Roe, Jane", "x"), ("d", "person", "Jane Roe", "y")], "scope string, kind string, name string, entity string")
+    assert N.spelling_pairs(N.linked_spellings(named)).count() == 1

@@ -100,3 +100,12 @@ def test_copies_outside_the_targets_take_no_text_away(spark):
     targets = spark.createDataFrame([*TARGETS, (None, 0.5, 1)], "source string, target_share double, max_repeats long")
     got = X.distinct_texts(df, "doc_id", "text", "source", targets).collect()
     assert sorted((r.doc_id, r.source) for r in got) == [(3, "a"), (4, "a"), (7, "a"), (8, "none")]
+
+
+def test_keys_may_bear_the_names_used_inside(spark):
+    df = spark.createDataFrame([(i, 3 + i % 4, None) for i in range(20)] + [(99, None, 1)], "bucket long, rank long, salt long")
+    got = P.pack_all(df, "bucket", "rank", [("a", 10), ("b", 4)])
+    rows = got.collect()
+    assert got.columns == ["pack_name", "capacity_tokens", "container_no", "bucket", "piece_no", "first_token", "n_tokens"]
+    assert {r.bucket for r in rows} == set(range(20)) and {n: sum(r.n_tokens for r in rows if r.pack_name == n) for n in "ab"} == {"a": 90, "b": 90}
+    assert P.pack_all(df, "bucket", "rank", []).count() == 0
