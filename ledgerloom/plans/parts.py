@@ -561,3 +561,76 @@ def pdf_quality_report(spark, sf_dir):
     """Score, warnings and fallback flag of every document text."""
     q = read_table(spark, sf_dir, "documents").select("doc_id", quality(F.col("text")).alias("q"))
     return q.select("doc_id", F.col("q.score").alias("score"), F.array_join("q.warnings", ",").alias("warnings"), F.col("q.requires_fallback").alias("requires_fallback"))
+
+
+# ---- sections of the openings, by lines -----------------------------------------------------------------------------
+
+_STRIP = "regexp_replace(regexp_replace({t}, '^[\\s\\x{{00A0}}]+', ''), '[\\s\\x{{00A0}}]+$', '')"
+
+
+@query(f"SELECT document_id, record_id AS section_id, heading, section_category, CAST(length({_STRIP.format(t='chunk_text')}) AS BIGINT) AS n_chars FROM {SQL_CHUNKS} WHERE chunk_text IS NOT NULL")
+def proj_section(spark, sf_dir):
+    """The members of a section, its text without blanks at the ends."""
+    c = chunks(spark, sf_dir, "document_id", "heading", "section_category", "chunk_text").where("chunk_text IS NOT NULL")
+    plain = F.regexp_replace(F.regexp_replace("chunk_text", r"^[\s\xa0]+", ""), r"[\s\xa0]+$", "")
+    return c.select("document_id", F.col("record_id").alias("section_id"), "heading", "section_category", F.length(plain).cast("bigint").alias("n_chars"))
+
+
+_NUMBERED_SQL = f"(SELECT *, sum(CASE WHEN head THEN 1 ELSE 0 END) OVER (PARTITION BY document_id ORDER BY line_no) AS section_no FROM (SELECT document_id, line_no, line, regexp_matches(line, '{_BODY}') AS head FROM {_OPENINGS_SQL}))"
+
+
+@query(f"""SELECT document_id, CAST(section_no AS BIGINT) AS section_no, coalesce(max(trim(line)) FILTER (WHERE head), 'Preamble') AS heading, trim(coalesce(string_agg(line, chr(10) ORDER BY line_no) FILTER (WHERE NOT head AND NOT regexp_matches(line, '^-{{20,}}\\s*$')), '')) AS body
+ FROM {_NUMBERED_SQL} GROUP BY 1, 2""")
+def build_sections(spark, sf_dir):
+    """What precedes the first heading line of an opening, and the lines under each, page rules dropped: a running count of headings numbers the sections."""
+    head = F.col("line").rlike(_BODY_JAVA)
+    number = F.sum(head.cast("int")).over(Window.partitionBy("document_id").orderBy("line_no"))
+    lines = _openings(spark, sf_dir).withColumn("section_no", number).withColumn("head", head)
+    kept = F.when(~F.col("head") & ~F.col("line").rlike(r"^-{20,}\s*$"), F.struct("line_no", "line"))
+    body = F.array_join(F.transform(F.sort_array(F.collect_list(kept)), lambda x: x["line"]), "\n")
+    heading = F.coalesce(F.max(F.when(F.col("head"), F.trim("line"))), F.lit("Preamble"))
+    return lines.groupBy("document_id", "section_no").agg(heading.alias("heading"), F.trim(body).alias("body"))
+
+
+_STRICT_SQL = f"(SELECT document_id, item_key, min(line_no) AS line_no FROM ({SQL['item_body_re']}) GROUP BY 1, 2)"
+_GRID_SQL = f"""(SELECT *, last_value(line_no IGNORE NULLS) OVER (PARTITION BY document_id ORDER BY nth ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS low, first_value(line_no IGNORE NULLS) OVER (PARTITION BY document_id ORDER BY nth ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING) AS high
+ FROM (SELECT d.document_id, k AS item_key, nth, line_no FROM (SELECT DISTINCT document_id FROM {_STRICT_SQL}) d CROSS JOIN (VALUES {', '.join(f"('{k}', {i})" for i, k in enumerate(R.STANDARD_ITEMS))}) t(k, nth) LEFT JOIN {_STRICT_SQL} s ON s.document_id = d.document_id AND s.item_key = k))"""
+
+
+def _windows(spark, sf_dir) -> DataFrame:
+    """(document_id, item_key, line_no, low, high) of every standard item: its heading line or null, and the nearest ones of the items before and after it."""
+    found = item_body_re(spark, sf_dir).groupBy("document_id", "item_key").agg(F.min("line_no").alias("line_no"))
+    items = F.explode(F.array(*(F.struct(F.lit(k).alias("item_key"), F.lit(i).alias("nth")) for i, k in enumerate(R.STANDARD_ITEMS)))).alias("s")
+    grid = found.select("document_id").distinct().select("document_id", items).select("document_id", "s.*").join(found, ["document_id", "item_key"], "left")
+    w = Window.partitionBy("document_id").orderBy("nth")
+    low, high = F.last("line_no", True).over(w.rowsBetween(Window.unboundedPreceding, -1)), F.first("line_no", True).over(w.rowsBetween(1, Window.unboundedFollowing))
+    return grid.select("document_id", "item_key", "line_no", low.alias("low"), high.alias("high"))
+
+
+_LOOKED_SQL = f"SELECT g.document_id, g.item_key, min(l.line_no) AS line_no FROM {_GRID_SQL} g JOIN ({SQL['item_loose_re']}) l ON l.document_id = g.document_id AND l.item_key = g.item_key WHERE g.line_no IS NULL AND l.line_no > coalesce(g.low, 0) AND l.line_no < coalesce(g.high, 1000000000) GROUP BY 1, 2"
+
+
+@query(_LOOKED_SQL)
+def interval_window_lookup(spark, sf_dir):
+    """Items without a heading line, found between the headings of their neighbours."""
+    lacking = _windows(spark, sf_dir).where("line_no IS NULL").drop("line_no")
+    near = lacking.join(item_loose_re(spark, sf_dir), ["document_id", "item_key"]).where("line_no > coalesce(low, 0) AND line_no < coalesce(high, 1000000000)")
+    return near.groupBy("document_id", "item_key").agg(F.min("line_no").alias("line_no"))
+
+
+@query(f"SELECT document_id, item_key, line_no FROM {_GRID_SQL} WHERE line_no IS NOT NULL UNION ALL {_LOOKED_SQL}")
+def find_body_headings(spark, sf_dir):
+    """The standard items' headings: lines that open with one, else what the windows hold."""
+    return _windows(spark, sf_dir).where("line_no IS NOT NULL").select("document_id", "item_key", "line_no").union(interval_window_lookup(spark, sf_dir))
+
+
+@query(f"""SELECT document_id, n_items, first_line FROM (SELECT *, row_number() OVER (PARTITION BY document_id ORDER BY n_items DESC, spread, first_line) AS k FROM (SELECT document_id, cluster, count(DISTINCT item_key) AS n_items, min(line_no) AS first_line, (max(line_no) - min(line_no)) / count(*) AS spread
+ FROM (SELECT *, sum(CASE WHEN gap >= 3 THEN 1 ELSE 0 END) OVER (PARTITION BY document_id ORDER BY line_no) AS cluster FROM (SELECT *, line_no - lag(line_no) OVER (PARTITION BY document_id ORDER BY line_no) AS gap FROM {relational._TOC_SQL})) GROUP BY 1, 2) WHERE n_items >= {R.TOC_MIN_ITEMS}) WHERE k = 1""")
+def toc_headerless(spark, sf_dir):
+    """The densest run of item lines with enough different items: most items, then the narrowest, then the first."""
+    w = Window.partitionBy("document_id").orderBy("line_no")
+    gaps = relational._toc_lines(spark, sf_dir).withColumn("gap", F.col("line_no") - F.lag("line_no").over(w))
+    runs = gaps.withColumn("cluster", F.sum(F.when(F.col("gap") >= 3, 1).otherwise(0)).over(w))
+    each = runs.groupBy("document_id", "cluster").agg(F.countDistinct("item_key").alias("n_items"), F.min("line_no").alias("first_line"), ((F.max("line_no") - F.min("line_no")) / F.count("*")).alias("spread"))
+    k = F.row_number().over(Window.partitionBy("document_id").orderBy(F.desc("n_items"), "spread", "first_line"))
+    return each.where(F.col("n_items") >= R.TOC_MIN_ITEMS).withColumn("k", k).where("k = 1").select("document_id", "n_items", "first_line")

@@ -14,7 +14,7 @@ from ledgerloom.functions import rules as R
 from ledgerloom.operators import enrich, table_enrich, text_tables
 from ledgerloom.plans import parts, relational, training
 from ledgerloom.plans.base import SQL_CHUNKS, SQL_FILINGS, chunks, filings
-from ledgerloom.plans.documents import _MENTIONS_SQL, companies, mentions
+from ledgerloom.plans.documents import _MENTIONS_SQL, companies, mentions, money
 from ledgerloom.session import cut, scratch
 from ledgerloom.sources import documents, read_table
 
@@ -396,3 +396,11 @@ def ner(spark, sf_dir):
     """Company mentions by the offline pattern, which a model's may replace, and how often in each record."""
     c = chunks(spark, sf_dir, "document_id", "chunk_text").where("chunk_text IS NOT NULL").withColumn("section_no", F.lit(0))
     return companies(c).groupBy("record_id", "name").agg(F.count("*").alias("n"))
+
+
+@query(f"SELECT record_id, kind, name, CAST(sum(n) AS BIGINT) AS n FROM (SELECT record_id, 'company' AS kind, name, n FROM ({SQL['ner']}) UNION ALL SELECT record_id, 'monetary_value', match, 1 FROM {parts._FOUND_MONEY_SQL}) GROUP BY 1, 2, 3")
+def extract_entities(spark, sf_dir):
+    """Companies by the offline pattern and money, one below the other, and how often in each record."""
+    named = ner(spark, sf_dir).select("record_id", F.lit("company").alias("kind"), "name", "n")
+    found = money(spark, sf_dir).groupBy("record_id", F.col("match").alias("name")).agg(F.count("*").alias("n"))
+    return named.unionByName(found.withColumn("kind", F.lit("monetary_value")))
